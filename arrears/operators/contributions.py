@@ -8,49 +8,66 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from itertools import combinations
 from math import factorial
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrears.operators.model import DefaultModel
 from arrears.shared import shared_dir
 
 
-def linear_contributions(
-    loans: DataFrame, background: DataFrame, numeric: dict[str, float], categorical: dict[str, dict[str, float]],
-    intercept: float,
-) -> tuple[DataFrame, list[str]]:
-    """Contributions under a linear log-odds model: weight times distance from the background mean.
-
-    A missing number counts as the mean. Returns the loans and the owner of each slot. The means are model parameters,
-    one number per slot, so they are fetched once and used as literals.
-    """
-    shares = {(c, level): F.avg((F.coalesce(F.col(c), F.lit("")) == level).cast("double"))
-              for c, levels in categorical.items() for level in levels}
-    aggregates = [F.avg(F.col(c).cast("double")) for c in numeric] + list(shares.values())
-    means = background.agg(*[a.alias(f"m{i}") for i, a in enumerate(aggregates)]).first()
-    phi, parts, bias = [], [], intercept
-    for i, (c, weight) in enumerate(numeric.items()):
-        x = F.coalesce(F.col(c).cast("double"), F.lit(means[i]))
-        phi.append((x - means[i]) * weight)
-        parts.append(x * weight)
-        bias += weight * means[i]
-    for i, (c, level) in enumerate(shares, start=len(numeric)):
-        weight = categorical[c][level]
-        x = (F.coalesce(F.col(c), F.lit("")) == level).cast("double")
-        phi.append((x - means[i]) * weight)
-        parts.append(x * weight)
-        bias += weight * means[i]
-    margin = F.lit(intercept)
-    for part in parts:
-        margin = margin + part
-    owners = [*numeric, *[c for c, _ in shares]]
-    return loans.withColumns({"phi": F.array(*phi), "bias": F.lit(bias), "margin": margin}), owners
+@dataclass
+class LinearModel:
+    """Linear log-odds model: weights of numeric inputs and of categories, centred on the means of a background."""
+
+    numeric: dict[str, float]
+    categorical: dict[str, dict[str, float]]
+    intercept: float
+    means: list[float] = field(default_factory=list)
+
+    def _slots(self) -> list[tuple[str, str | None, float]]:
+        return [(c, None, w) for c, w in self.numeric.items()] + [
+            (c, level, w) for c, levels in self.categorical.items() for level, w in levels.items()]
+
+    @property
+    def owners(self) -> list[str]:
+        """Original input of each slot."""
+        return [c for c, _, _ in self._slots()]
+
+    def _value(self, name: str, level: str | None) -> Column:
+        if level is None:
+            return F.col(name).cast("double")
+        return F.coalesce(F.col(name) == level, F.lit(False)).cast("double")
+
+    def fit(self, background: DataFrame) -> LinearModel:
+        """Set the means. They are parameters of the model, one number per slot, fetched in one row."""
+        row = background.agg(*[F.avg(self._value(c, level)).alias(f"m{i}")
+                               for i, (c, level, _) in enumerate(self._slots())]).first()
+        self.means = [float(m) for m in row]
+        return self
+
+    def margin(self) -> Column:
+        """Log-odds; a missing number counts as the mean."""
+        total = F.lit(self.intercept)
+        for (c, level, weight), mean in zip(self._slots(), self.means):
+            total = total + F.coalesce(self._value(c, level), F.lit(mean)) * weight
+        return total
+
+    def score(self, loans: DataFrame, out: str = "p_default") -> DataFrame:
+        return loans.withColumn(out, F.lit(1.0) / (1 + F.exp(-self.margin())))
+
+    def contributions(self, loans: DataFrame) -> DataFrame:
+        """Weight times distance from the mean for each slot."""
+        slots = list(zip(self._slots(), self.means))
+        phi = [(F.coalesce(self._value(c, level), F.lit(mean)) - mean) * weight for (c, level, weight), mean in slots]
+        bias = self.intercept + sum(weight * mean for (_, _, weight), mean in slots)
+        return loans.withColumns({"phi": F.array(*phi), "bias": F.lit(bias), "margin": self.margin()})
 
 
 def _leaf_tables(nodes: list, weight: float) -> Iterator[tuple[list, np.ndarray, float]]:

@@ -6,14 +6,14 @@ model versions, so that latest-run rules, stale months and drift between runs al
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.constants import SCORED_SPLITS
 from arrears.operators import alerts, dashboard, features
-from arrears.operators.contributions import fold_contributions, linear_contributions
+from arrears.operators.contributions import LinearModel, fold_contributions
 from arrears.operators.drift import MONTH_KEYS, feature_drift, score_drift
 from arrears.operators.history import upsert
 from arrears.operators.metrics import RUN_KEYS, binary_metrics, metrics_row, ranking_rollups, run_time
@@ -166,26 +166,19 @@ class Book:
         return dashboards(self.predictions, self.features, self.score_drift, self.feature_drift, self.rollups,
                           self.alert_log, self.metrics)
 
-    def explained(self, feature_set: str = "no_lc_strict") -> tuple[DataFrame, list[str]]:
-        """Test and validation loans explained by the linear model, with decision, and the model's inputs."""
-        categorical = FEATURE_SET_WEIGHTS[feature_set]
+    @cache
+    def linear_model(self, feature_set: str = "no_lc_strict") -> LinearModel:
+        model = LinearModel(NUMERIC_WEIGHTS, FEATURE_SET_WEIGHTS[feature_set], INTERCEPT)
+        return model.fit(self.features.where("split = 'train'"))
+
+    @cache
+    def explained(self, feature_set: str = "no_lc_strict") -> DataFrame:
+        """Validation and test loans explained by the linear model, with the decision."""
+        model = self.linear_model(feature_set)
         loans = self.features.where(F.col("split").isin(*SCORED_SPLITS))
-        rows, owners = linear_contributions(
-            loans, self.features.where("split = 'train'"), NUMERIC_WEIGHTS, categorical, INTERCEPT)
-        rows = rows.withColumn("p_default", F.lit(1.0) / (1 + F.exp(-F.col("margin"))))
-        folded = fold_contributions(with_decision(rows), owners)
-        return folded, [*NUMERIC_WEIGHTS, *categorical]
-
-    def rescore(self, feature_set: str = "no_lc_strict"):
-        """Score changed loans with the same linear model."""
-        def score(loans: DataFrame, out: str) -> DataFrame:
-            rows, _ = linear_contributions(
-                loans.drop("phi", "bias", "margin"), self.features.where("split = 'train'"), NUMERIC_WEIGHTS,
-                FEATURE_SET_WEIGHTS[feature_set], INTERCEPT)
-            return rows.withColumn(out, F.lit(1.0) / (1 + F.exp(-F.col("margin")))).drop("phi", "bias", "margin").join(
-                loans.select("loan_id", "phi", "bias", "margin"), "loan_id")
-        return score
+        scored = settle(model.score(model.contributions(loans)), "explained")
+        return fold_contributions(with_decision(scored), model.owners)
 
     def declines(self, feature_set: str = "no_lc_strict") -> DataFrame:
-        rows, inputs = self.explained(feature_set)
-        return explain_declines(rows, inputs, rescore=self.rescore(feature_set))
+        model = self.linear_model(feature_set)
+        return explain_declines(self.explained(feature_set), [*model.numeric, *model.categorical], rescore=model.score)
