@@ -114,7 +114,7 @@ def tree_contributions(model: DefaultModel, loans: DataFrame) -> DataFrame:
     spark = loans.sparkSession
     path = f"{shared_dir(spark)}/trees-{model.trees.uid}"
     model.trees.write().overwrite().save(path)
-    weights = {r.treeID: r.weights for r in spark.read.parquet(f"{path}/treesMetadata").select("treeID", "weights").collect()}
+    weights = model.trees.treeWeights
     trees = defaultdict(list)
     for row in spark.read.parquet(f"{path}/data").collect():
         trees[row.treeID].append(row.nodeData)

@@ -131,11 +131,10 @@ first_latest AS (
   QUALIFY ts = max(ts) OVER (PARTITION BY model_version, split)
 ),
 scored AS (
-  SELECT model_version, split, loan_id, p_default, label
-  FROM latest JOIN features USING (loan_id, split)
-  WHERE p_default IS NOT NULL AND label IS NOT NULL
-)""".replace("latest JOIN features USING (loan_id, split)",
-             "(SELECT model_version, split, loan_id, p_default FROM latest) JOIN (SELECT loan_id, label FROM features) USING (loan_id)")
+  SELECT p.model_version, p.split, p.loan_id, p.p_default, f.label
+  FROM latest p JOIN features f ON p.loan_id = f.loan_id
+  WHERE p.p_default IS NOT NULL AND f.label IS NOT NULL
+)"""
 
 
 def _monthly(source: str, ts: str) -> str:
