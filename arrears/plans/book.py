@@ -64,9 +64,9 @@ class Book:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
 
-    @property
+    @cached_property
     def raw(self) -> DataFrame:
-        return raw_loans(self.spark, self.folder)
+        return settle(raw_loans(self.spark, self.folder), "loans-raw")
 
     @property
     def staged(self) -> DataFrame:

@@ -19,8 +19,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _money(value: Column) -> Column:
-    return F.format_string("%.2f", value)
+def _decimal(value: Column, digits: int = 2) -> Column:
+    return value.cast(f"decimal(20,{digits})").cast("string")
 
 
 def raw_loans(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,15 +58,15 @@ def raw_loans(spark: SparkSession, folder: str) -> DataFrame:
     fields = {
         "id": k.cast("string"),
         "member_id": c.cast("string"),
-        "loan_amnt": F.when(k % 89 == 0, F.lit("n/a")).otherwise(_money(amount)),
+        "loan_amnt": F.when(k % 89 == 0, F.lit("n/a")).otherwise(_decimal(amount)),
         "term": F.concat(F.lit(" "), months.cast("string"), F.lit(" months")),
-        "int_rate": _money(rate),
-        "installment": _money(F.round(payment(amount, rate / 1200, months), 2)),
+        "int_rate": _decimal(rate),
+        "installment": _decimal(F.round(payment(amount, rate / 1200, months), 2)),
         "grade": F.substring(F.lit("ABCDEFG"), (1 + k % 7).cast("int"), F.lit(1)),
         "issue_d": F.when(copy == 2, F.lit("unknown")).otherwise(F.date_format(issued, "MMM-yyyy")),
         "emp_length": F.when(k % 11 != 0, F.concat((k % 11).cast("string"), F.lit(" years"))),
         "home_ownership": F.col("c_mktsegment"),
-        "annual_inc": _money(F.round(F.col("c_acctbal") * 10, 2)),
+        "annual_inc": _decimal(F.round(F.col("c_acctbal") * 10, 2)),
         "verification_status": priority,
         "purpose": F.col("n_name"),
         "initial_list_status": F.when(k % 3 == 0, F.lit("f")).otherwise(F.lit("w")),
@@ -78,17 +78,14 @@ def raw_loans(spark: SparkSession, folder: str) -> DataFrame:
         "earliest_cr_line": F.date_format(F.add_months(opened, (-12 * (2 + k % 30)).cast("int")), "MMM-yyyy"),
         "delinq_2yrs": (k % 5).cast("string"),
         "inq_last_6mths": (k % 7).cast("string"),
-        "revol_bal": _money(F.col("price_cents") / 100),
-        "revol_util": F.format_string("%.4f", F.round(F.col("discount_points") * 10 / F.col("lines"), 4)),
-        "dti": _money(((7 * c + k) % 11000) / 100),
+        "revol_bal": _decimal(F.col("price_cents") / 100),
+        "revol_util": _decimal(F.round(F.col("discount_points") * 10 / F.col("lines"), 4), 4),
+        "dti": _decimal(((7 * c + k) % 11000) / 100),
         "loan_status": F.when(status == "O", F.lit("Current"))
         .when((status == "P") & (priority == "1-URGENT"), F.lit("Charged Off"))
         .when((status == "P") & (priority == "2-HIGH"), F.lit("Late (16-30 days)"))
         .otherwise(F.lit("Fully Paid")),
     }
-    # format_string prints a NULL number as text, so money built from missing lines is masked here.
-    for name in ("revol_bal", "revol_util"):
-        fields[name] = F.when(F.col("lines").isNotNull(), fields[name])
     blank = F.lit(None).cast("string")
     return book.withColumn("copy", F.explode(copies)).select(
         *[fields.get(name, blank).alias(name) for name in RAW_COLUMNS])
