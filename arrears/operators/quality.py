@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from arrears.constants import (
     ALLOWED_VALUES, LABEL_RATE_RANGE, LABEL_SHIFT_WARN, MATURITY_GUARD, MIN_TRAIN_ROWS, NULL_FAIL, NULL_WARN,
     PLAUSIBLE_RANGES, RANGE_FAIL, RANGE_WARN, SPLITS)
-from arrears.functions.text import fixed, percent, sentence
+from arrears.functions.text import sentence
 from arrears.shared import settle
 
 # --- Data tests: each returns the failing rows or values --------------------------------------------------------------
@@ -112,6 +113,41 @@ def _is_missing(df: DataFrame, name: str) -> Column:
     return F.col(name).isNull() | F.isnan(name) if kind in ("double", "float") else F.col(name).isNull()
 
 
+REPORT_SCHEMA = "check string, severity string, subject string, value double, message string"
+
+
+def _figures(rows: DataFrame, features: list[str], ranged: list[str]) -> Row:
+    """Every row-wise figure of the report, from one pass over the rows."""
+    split, label, day = F.col("split"), F.col("label"), F.to_date("issue_date")
+    figures: list[Column] = []
+    for name in SPLITS:
+        here = split == name
+        figures += [
+            F.count_if(here).alias(f"rows_{name}"),
+            F.count_if(here & label.isNull()).alias(f"nolabel_{name}"),
+            F.count_if(here & ~label.isin(0, 1)).alias(f"badlabel_{name}"),
+            F.avg(F.when(here, label.cast("double"))).alias(f"rate_{name}"),
+            F.min(F.when(here, day)).alias(f"first_{name}"),
+            F.max(F.when(here, day)).alias(f"last_{name}"),
+        ]
+    in_train = split == "train"
+    figures += [F.avg(F.when(in_train, _is_missing(rows, c).cast("double"))).alias(f"missing_{c}") for c in features]
+    for c in ranged:
+        lowest, highest = PLAUSIBLE_RANGES[c]
+        figures.append(F.avg((~_number(c).between(lowest, highest)).cast("double")).alias(f"outside_{c}"))
+    return rows.agg(*figures).first()
+
+
+def _id_figures(rows: DataFrame) -> Row:
+    """Repeated ids per split and ids shared between splits; ids are grouped once, with map-side combine."""
+    ids = rows.groupBy(F.coalesce(F.col("loan_id").cast("string"), F.lit("None")).alias("loan_id")).agg(
+        *[F.count_if(F.col("split") == name).alias(name) for name in SPLITS])
+    return ids.agg(
+        *[F.coalesce(F.sum(F.greatest(F.col(name) - 1, F.lit(0))), F.lit(0)).alias(f"repeats_{name}") for name in SPLITS],
+        *[F.count_if((F.col(a) > 0) & (F.col(b) > 0)).alias(f"shared_{a}_{b}")
+          for i, b in enumerate(SPLITS) for a in SPLITS[:i]]).first()
+
+
 def validate_splits(
     data: DataFrame | Mapping[str, DataFrame], numeric: list[str], categorical: list[str], limited: bool = False,
     maturity_guard: str = MATURITY_GUARD,
@@ -119,142 +155,105 @@ def validate_splits(
     """Check the splits and return the report: ``check, severity, subject, value, message``.
 
     ``FAIL`` stops training, ``WARN`` does not, ``INFO`` carries the row counts and default rates. When the structure is
-    broken the later checks are listed as ``SKIPPED``. Every row-wise figure comes from one pass over the data that
-    yields a single row; ids are grouped once, with map-side combine, for duplicates and overlaps.
+    broken the later checks are listed as ``SKIPPED``. The data is reduced to one row of figures whose width depends on
+    the columns only; the wording is added to that row. Unexpected values stay distributed, one report row each.
     """
+    spark = (data if isinstance(data, DataFrame) else next(iter(data.values()))).sparkSession
     features = [*numeric, *categorical]
     needed = [*features, "label", "loan_id", "issue_date"]
     rows, lacking = _stack(data, needed)
-    if lacking:
-        rows = rows.withColumns({
-            name: F.lit(None).cast("string") for name in needed if name not in rows.columns})
+    rows = rows.withColumns({name: F.lit(None).cast("string") for name in needed if name not in rows.columns})
     rows = rows.select("split", *needed).where(F.col("split").isin(*SPLITS))
-    split, label, day = F.col("split"), F.col("label"), F.to_date("issue_date")
-    inside = {name: split == name for name in SPLITS}
-    ranged = {name: limits for name, limits in PLAUSIBLE_RANGES.items() if name in numeric}
+    ranged = [name for name in PLAUSIBLE_RANGES if name in numeric]
+    figure = _figures(rows, features, ranged)
+    total = {name: figure[f"rows_{name}"] for name in SPLITS}
+    notes: list[tuple] = []
 
-    figures: list[Column] = []
-    for name in SPLITS:
-        figures += [
-            F.count_if(inside[name]).alias(f"rows_{name}"),
-            F.count_if(inside[name] & label.isNull()).alias(f"nolabel_{name}"),
-            F.count_if(inside[name] & ~label.isin(0, 1)).alias(f"badlabel_{name}"),
-            F.avg(F.when(inside[name], label.cast("double"))).alias(f"rate_{name}"),
-            F.min(F.when(inside[name], day)).alias(f"first_{name}"),
-            F.max(F.when(inside[name], day)).alias(f"last_{name}"),
-        ]
-    figures += [F.avg(F.when(inside["train"], _is_missing(rows, c).cast("double"))).alias(f"missing_{c}") for c in features]
-    for c, (lo, hi) in ranged.items():
-        figures.append(F.avg((~_number(c).between(lo, hi)).cast("double")).alias(f"outside_{c}"))
-    wide = rows.agg(*figures)
+    def note(check: str, severity: str, subject: str, value, message: str | None) -> None:
+        notes.append((check, severity, subject, None if value is None else float(value), message))
 
-    ids = rows.groupBy(F.coalesce(F.col("loan_id").cast("string"), F.lit("None")).alias("loan_id")).agg(
-        *[F.count_if(inside[name]).alias(name) for name in SPLITS])
-    pairs = [(a, b) for i, b in enumerate(SPLITS) for a in SPLITS[:i]]
-    id_figures = ids.agg(
-        *[F.coalesce(F.sum(F.greatest(F.col(name) - 1, F.lit(0))), F.lit(0)).alias(f"repeats_{name}") for name in SPLITS],
-        *[F.count_if((F.col(a) > 0) & (F.col(b) > 0)).alias(f"shared_{a}_{b}") for a, b in pairs])
-    id_figures = settle(id_figures, "id-figures")
-    id_value = {name: id_figures.select(name).scalar() for name in id_figures.columns}
-    wide = settle(wide.select("*", *[id_value[name].alias(name) for name in id_value]), "split-figures")
-
-    found: list[Column] = []
-
-    def note(check: str, severity: Column | str, subject: str, value: Column, message: Column, when: Column) -> None:
-        severity = F.lit(severity) if isinstance(severity, str) else severity
-        found.append(F.when(when, F.struct(
-            F.lit(check).alias("check"), severity.alias("severity"), F.lit(subject).alias("subject"),
-            value.cast("double").alias("value"), message.alias("message"))))
-
-    # 1. Structure
-    total = {name: F.col(f"rows_{name}") for name in SPLITS}
-    broken = F.lit(bool(lacking))
+    def report() -> DataFrame:
+        return spark.createDataFrame(notes, REPORT_SCHEMA)
+
+    # Structure
     for name in ("train", "valid"):
-        note("structure", "FAIL", name, total[name], F.lit(f"{name} split is empty"), total[name] == 0)
-        broken = broken | (total[name] == 0)
-    if not limited:
-        few = total["train"] < MIN_TRAIN_ROWS
-        note("structure", "FAIL", "train", total["train"],
-             sentence("train has ", F.format_number(total["train"], 0), f" rows (< {MIN_TRAIN_ROWS:,})"), few)
-        broken = broken | few
+        if not total[name]:
+            note("structure", "FAIL", name, 0, f"{name} split is empty")
+    if not limited and total["train"] < MIN_TRAIN_ROWS:
+        note("structure", "FAIL", "train", total["train"], f"train has {total['train']:,} rows (< {MIN_TRAIN_ROWS:,})")
     for name, names in lacking.items():
-        note("structure", "FAIL", name, F.lit(len(names)), F.lit(f"{name}: missing columns {names}"), F.lit(True))
-    sound = ~broken
-
-    # 2. Labels
+        note("structure", "FAIL", name, len(names), f"{name}: missing columns {names}")
+    if notes:
+        for check in ("labels", "time_order", "overlap", "missing", "ranges", "allowed"):
+            note(check, "SKIPPED", "all", None, "structure is broken")
+        return report()
+
+    # Labels
+    present = [name for name in SPLITS if total[name]]
+    rate = {name: figure[f"rate_{name}"] for name in present}
     lowest, highest = LABEL_RATE_RANGE
-    rate4 = {name: F.bround(F.col(f"rate_{name}"), 4) for name in SPLITS}
-    for name in SPLITS:
-        some, rate = sound & (total[name] > 0), F.col(f"rate_{name}")
-        note("labels", "FAIL", name, F.col(f"nolabel_{name}"),
-             sentence(f"{name}: ", F.col(f"nolabel_{name}").cast("string"), " missing labels"),
-             some & (F.col(f"nolabel_{name}") > 0))
-        note("labels", "FAIL", name, F.col(f"badlabel_{name}"), F.lit(f"{name}: label has values other than 0/1"),
-             some & (F.col(f"badlabel_{name}") > 0))
-        note("labels", "INFO", f"{name}_rows", total[name], F.lit(None).cast("string"), some)
-        note("labels", "INFO", f"{name}_default_rate", rate4[name], F.lit(None).cast("string"), some)
-        note("labels", "FAIL", name, rate,
-             sentence(f"{name}: default rate ", fixed(rate, 3), f" outside {LABEL_RATE_RANGE}"),
-             some & ~rate.between(lowest, highest))
+    for name in present:
+        if figure[f"nolabel_{name}"]:
+            note("labels", "FAIL", name, figure[f"nolabel_{name}"], f"{name}: {figure[f'nolabel_{name}']} missing labels")
+        if figure[f"badlabel_{name}"]:
+            note("labels", "FAIL", name, figure[f"badlabel_{name}"], f"{name}: label has values other than 0/1")
+        note("labels", "INFO", f"{name}_rows", total[name], None)
+        if rate[name] is None:
+            continue
+        note("labels", "INFO", f"{name}_default_rate", round(rate[name], 4), None)
+        if not lowest <= rate[name] <= highest:
+            note("labels", "FAIL", name, rate[name], f"{name}: default rate {rate[name]:.3f} outside {LABEL_RATE_RANGE}")
+    known = {name: round(value, 4) for name, value in rate.items() if value is not None}
     for name in ("valid", "test"):
-        note("labels", "WARN", name, rate4[name],
-             sentence(f"{name} default rate ", fixed(rate4[name], 4), " differs from train ", fixed(rate4["train"], 4),
-                      f" by more than {LABEL_SHIFT_WARN}"),
-             sound & (F.abs(rate4[name] - rate4["train"]) > LABEL_SHIFT_WARN))
-
-    # 3. Time order and maturity
-    first = {name: F.col(f"first_{name}") for name in SPLITS}
-    last = {name: F.col(f"last_{name}") for name in SPLITS}
-    for a, b in [("train", "valid"), ("valid", "test")]:
-        note("time_order", "FAIL", f"{a}/{b}", F.datediff(last[a], first[b]),
-             sentence(f"time split broken: latest {a} date ", last[a].cast("string"), f" >= earliest {b} date ",
-                      first[b].cast("string")),
-             sound & (last[a] >= first[b]))
-    newest = F.greatest(*last.values())
-    note("time_order", "FAIL", "maturity", F.datediff(newest, F.lit(maturity_guard).cast("date")),
-         sentence("loans issued after the maturity guard (", newest.cast("string"), f" > {maturity_guard})"),
-         sound & (newest > F.lit(maturity_guard).cast("date")))
-
-    # 4. Repeated and shared ids
+        if {"train", name} <= set(known) and abs(known[name] - known["train"]) > LABEL_SHIFT_WARN:
+            note("labels", "WARN", name, known[name], f"{name} default rate {known[name]:.4f} differs from train "
+                 f"{known['train']:.4f} by more than {LABEL_SHIFT_WARN}")
+
+    # Time order and maturity
+    first, last = ({name: figure[f"{end}_{name}"] for name in present if figure[f"{end}_{name}"]} for end in ("first", "last"))
+    dated = [name for name in SPLITS if name in last]
+    for a, b in zip(dated, dated[1:]):
+        if last[a] >= first[b]:
+            note("time_order", "FAIL", f"{a}/{b}", (last[a] - first[b]).days,
+                 f"time split broken: latest {a} date {last[a]} >= earliest {b} date {first[b]}")
+    guard = date.fromisoformat(maturity_guard)
+    if dated and max(last.values()) > guard:
+        note("time_order", "FAIL", "maturity", (max(last.values()) - guard).days,
+             f"loans issued after the maturity guard ({max(last.values())} > {guard})")
+
+    # Repeated and shared ids
+    ids = _id_figures(rows)
     for i, name in enumerate(SPLITS):
-        repeats = F.col(f"repeats_{name}")
-        note("overlap", "FAIL", name, repeats, sentence(f"{name}: ", repeats.cast("string"), " duplicate loan_ids"),
-             sound & (repeats > 0))
+        if ids[f"repeats_{name}"]:
+            note("overlap", "FAIL", name, ids[f"repeats_{name}"], f"{name}: {ids[f'repeats_{name}']} duplicate loan_ids")
         for other in SPLITS[:i]:
-            shared = F.col(f"shared_{other}_{name}")
-            note("overlap", "FAIL", f"{other}/{name}", shared,
-                 sentence(shared.cast("string"), f" loan_ids appear in both {other} and {name}"), sound & (shared > 0))
+            shared = ids[f"shared_{other}_{name}"]
+            if shared:
+                note("overlap", "FAIL", f"{other}/{name}", shared, f"{shared} loan_ids appear in both {other} and {name}")
 
-    # 5. Missing values in train
+    # Missing values in train, implausible values anywhere
     for c in features:
-        share = F.col(f"missing_{c}")
-        note("missing", F.when(share > NULL_FAIL, "FAIL").otherwise("WARN"), c, share,
-             sentence(f"train.{c}: ", percent(share, 1), " missing"), sound & (share > NULL_WARN))
-
-    # 6. Plausible ranges over all splits
-    for c, (lo, hi) in ranged.items():
-        share = F.col(f"outside_{c}")
-        note("ranges", F.when(share > RANGE_FAIL, "FAIL").otherwise("WARN"), c, share,
-             sentence(f"{c}: ", F.when(share > RANGE_FAIL, percent(share, 2)).otherwise(percent(share, 3)),
-                      f" of values outside [{lo}, {hi}]"),
-             sound & (share > RANGE_WARN))
-
-    for check in ("labels", "time_order", "overlap", "missing", "ranges", "allowed"):
-        note(check, "SKIPPED", "all", F.lit(None), F.lit("structure is broken"), broken)
-    report = wide.select(F.inline(F.filter(F.array(*found), lambda item: item.isNotNull())))
-
-    # 7. Allowed values: one row per unexpected value, counted where the data is
-    ok = wide.select(sound.alias("ok")).scalar()
+        share = figure[f"missing_{c}"] or 0.0
+        if share > NULL_WARN:
+            note("missing", "FAIL" if share > NULL_FAIL else "WARN", c, share, f"train.{c}: {share:.1%} missing")
+    for c in ranged:
+        share, (lowest, highest) = figure[f"outside_{c}"] or 0.0, PLAUSIBLE_RANGES[c]
+        if share > RANGE_WARN:
+            severe = share > RANGE_FAIL
+            shown = f"{share:.2%}" if severe else f"{share:.3%}"
+            note("ranges", "FAIL" if severe else "WARN", c, share, f"{c}: {shown} of values outside [{lowest}, {highest}]")
+
+    # Unexpected values
+    found = report()
     for c, allowed in ALLOWED_VALUES.items():
-        if c not in numeric:
-            continue
-        value = _number(c).cast("bigint")
-        odd = rows.where(~value.isin(*allowed) & ok).groupBy(value.alias("value")).agg(F.count(F.lit(1)))
-        report = report.unionByName(odd.select(
-            F.lit("allowed").alias("check"), F.lit("FAIL").alias("severity"), F.lit(c).alias("subject"),
-            F.col("value").cast("double").alias("value"),
-            sentence(f"{c}: unexpected values [", F.col("value").cast("string"), "]").alias("message")))
-    return report
+        if c in numeric:
+            value = _number(c).cast("bigint")
+            odd = rows.where(~value.isin(*allowed)).select(value.alias("value")).distinct()
+            found = found.unionByName(odd.select(
+                F.lit("allowed").alias("check"), F.lit("FAIL").alias("severity"), F.lit(c).alias("subject"),
+                F.col("value").cast("double").alias("value"),
+                sentence(f"{c}: unexpected values [", F.col("value").cast("string"), "]").alias("message")))
+    return found
 
 
 def enforce(report: DataFrame, path: str | None = None) -> DataFrame:
