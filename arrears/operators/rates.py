@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.functions.finance import with_implied_rate
+from arrears.functions.finance import implied_rate
 from arrears.operators.ranks import ROWS_PER_TASK, interpolated_quantiles
 from arrears.shared import settle
 
 
 def implied_rates(loans: DataFrame) -> DataFrame:
     """Loans with their implied yearly rate and its absolute error against the stated rate."""
-    solved = with_implied_rate(loans)
+    solved = loans.withColumn(
+        "implied_rate", implied_rate(F.col("loan_amount"), F.col("installment"), F.col("term_months")))
     stated = F.col("interest_rate").try_cast("double")
     stated = F.when(F.abs(stated) < F.lit(float("inf")), stated)
     return solved.withColumn("abs_error", F.abs(F.col("implied_rate") - stated))
