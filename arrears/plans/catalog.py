@@ -29,6 +29,7 @@ from arrears.sources.raw_csv import load_raw_csv, read_csv_split
 from arrears.sources.tables import append_rows, ensure_table, read_split, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
+RATE = 9  # digits kept of shares and rates: more than a tie needs, fewer than the order of addition disturbs
 TREE_ROUNDS = 10  # enough to exercise boosting; a real training run uses the default of the model operator
 _catalog: dict[str, Query] = {}
 
@@ -110,7 +111,7 @@ def time_split(spark, sf):
     split = features.time_split(book(spark, sf).features.drop("split"))
     return rounded(split.groupBy("split").agg(
         F.count(F.lit(1)).alias("loans"), F.min("issue_date").alias("first_date"), F.max("issue_date").alias("last_date"),
-        F.avg("label").alias("default_rate")))
+        F.avg("label").alias("default_rate")), RATE)
 
 
 @query
@@ -127,7 +128,7 @@ def build_features_with_line_date(spark, sf):
 @query
 def monthly_default_rate(spark, sf):
     months = book(spark, sf).features.groupBy("split", F.date_format("issue_date", "yyyy-MM").alias("issue_month"))
-    return rounded(months.agg(F.count(F.lit(1)).alias("loans"), F.avg("label").alias("default_rate")))
+    return rounded(months.agg(F.count(F.lit(1)).alias("loans"), F.avg("label").alias("default_rate")), RATE)
 
 
 @query
@@ -178,14 +179,14 @@ def data_tests(spark, sf):
 @query
 def validation_report(spark, sf):
     return rounded(quality.validate_splits(
-        book(spark, sf).features, NUMERIC_FEATURES, CATEGORICAL_FEATURES, True, MATURITY_GUARD))
+        book(spark, sf).features, NUMERIC_FEATURES, CATEGORICAL_FEATURES, True, MATURITY_GUARD), RATE)
 
 
 @query
 def validation_full_size(spark, sf):
     """Without the trial-run switch the training split must reach its full size."""
     return rounded(quality.validate_splits(
-        book(spark, sf).features, NUMERIC_FEATURES, CATEGORICAL_FEATURES, False, MATURITY_GUARD))
+        book(spark, sf).features, NUMERIC_FEATURES, CATEGORICAL_FEATURES, False, MATURITY_GUARD), RATE)
 
 
 @query
@@ -195,7 +196,7 @@ def validation_broken_splits(spark, sf):
         "credit_history_years", F.when(F.col("grade") == "A", 5).cast("bigint"))
     good = book(spark, sf).features
     parts = {"train": raw, "valid": good.where("split = 'valid'"), "test": good.where("split <> 'train'")}
-    return rounded(quality.validate_splits(parts, NUMERIC_FEATURES, CATEGORICAL_FEATURES, True, MATURITY_GUARD))
+    return rounded(quality.validate_splits(parts, NUMERIC_FEATURES, CATEGORICAL_FEATURES, True, MATURITY_GUARD), RATE)
 
 
 @query
@@ -244,40 +245,40 @@ def append_positional(spark, sf):
     stored = read_table(spark, path, PREDICTIONS_SCHEMA)
     return rounded(stored.groupBy("run_date", "model_version", "split").agg(
         F.count(F.lit(1)).alias("loans"), F.count("p_default").alias("scored"), F.count("issue_date").alias("dated"),
-        F.avg("p_default").alias("avg_pd")))
+        F.avg("p_default").alias("avg_pd")), RATE)
 
 
 @query
 def score_drift_months(spark, sf):
-    return rounded(score_drift(book(spark, sf).predictions, DRIFT_2))
+    return rounded(score_drift(book(spark, sf).predictions, DRIFT_2), RATE)
 
 
 @query
 def score_drift_table(spark, sf):
-    return rounded(book(spark, sf).score_drift)
+    return rounded(book(spark, sf).score_drift, RATE)
 
 
 @query
 def numeric_drift_stats(spark, sf):
     base = drift_base(book(spark, sf).predictions, book(spark, sf).features, "v2")
-    return rounded(numeric_drift(base), mean=3, std=3, min=3, max=3)
+    return rounded(numeric_drift(base), RATE, mean=3, std=3, min=3, max=3)
 
 
 @query
 def categorical_drift_stats(spark, sf):
-    return rounded(categorical_drift(drift_base(book(spark, sf).predictions, book(spark, sf).features, "v2")))
+    return rounded(categorical_drift(drift_base(book(spark, sf).predictions, book(spark, sf).features, "v2")), RATE)
 
 
 @query
 def feature_drift_table(spark, sf):
-    return rounded(book(spark, sf).feature_drift, mean=3, std=3, min=3, max=3)
+    return rounded(book(spark, sf).feature_drift, RATE, mean=3, std=3, min=3, max=3)
 
 
 @query
 def feature_drift_values_only(spark, sf):
     """Missing values left out before counting."""
     rows = feature_drift(book(spark, sf).predictions, book(spark, sf).features, DRIFT_2, include_nulls=False)
-    return rounded(rows, mean=3, std=3, min=3, max=3)
+    return rounded(rows, RATE, mean=3, std=3, min=3, max=3)
 
 
 # --- Ranking quality and calibration ----------------------------------------------------------------------------------
@@ -287,17 +288,17 @@ def feature_drift_values_only(spark, sf):
 def percent_ranks(spark, sf):
     hist = histogram(book(spark, sf).labelled_scores, RUN_KEYS, "p_default")
     ranked = percent_rank_from(cumulate(hist, RUN_KEYS, "p_default", ["n"], descending=True))
-    return rounded(ranked.select(*RUN_KEYS, "p_default", "n", "pct_rank"))
+    return rounded(ranked.select(*RUN_KEYS, "p_default", "n", "pct_rank"), RATE)
 
 
 @query
 def ranking_rollup(spark, sf):
-    return rounded(ranking_rollups(book(spark, sf).labelled_scores, DRIFT_2))
+    return rounded(ranking_rollups(book(spark, sf).labelled_scores, DRIFT_2), RATE)
 
 
 @query
 def binary_metrics_by_run(spark, sf):
-    return rounded(binary_metrics(book(spark, sf).labelled_scores, RUN_KEYS))
+    return rounded(binary_metrics(book(spark, sf).labelled_scores, RUN_KEYS), RATE)
 
 
 @query
@@ -309,7 +310,7 @@ def exact_top_k(spark, sf):
 def metrics_rows(spark, sf):
     row = metrics_row(binary_metrics(book(spark, sf).labelled_scores, RUN_KEYS), DRIFT_2)
     in_json = F.get_json_object("metrics_json", "$.lift_at_5pct").cast("double").alias("json_lift_at_5pct")
-    return rounded(row.select("*", in_json).drop("metrics_json"))
+    return rounded(row.select("*", in_json).drop("metrics_json"), RATE)
 
 
 @query
@@ -318,17 +319,17 @@ def rank_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", F.col("n_chars").cast("double").alias("score"))
     rated = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.col("quality").cast("bigint").alias("label"))
     rows = settle(rated.where("label IS NOT NULL").join(docs, "doc_id"), "rated")
-    return rounded(binary_metrics(rows, ["lang"], "score", "label", "doc_id").drop("brier"))
+    return rounded(binary_metrics(rows, ["lang"], "score", "label", "doc_id").drop("brier"), RATE)
 
 
 @query
 def reliability_bins(spark, sf):
-    return rounded(reliability_curve(book(spark, sf).labelled_scores, RUN_KEYS))
+    return rounded(reliability_curve(book(spark, sf).labelled_scores, RUN_KEYS), RATE)
 
 
 @query
 def brier_skill_by_run(spark, sf):
-    return rounded(brier_skill(book(spark, sf).labelled_scores, RUN_KEYS))
+    return rounded(brier_skill(book(spark, sf).labelled_scores, RUN_KEYS), RATE)
 
 
 @query
@@ -346,7 +347,7 @@ def income_quantiles_discrete(spark, sf):
 @query
 def rank_correlation(spark, sf):
     rows = book(spark, sf).features.where("open_acc IS NOT NULL AND total_acc IS NOT NULL")
-    return rounded(spearman(rows, ["split"], "open_acc", "total_acc").select("split", "rows", "distinct_x", "distinct_y", "rho"))
+    return rounded(spearman(rows, ["split"], "open_acc", "total_acc").select("split", "rows", "distinct_x", "distinct_y", "rho"), RATE)
 
 
 # --- Alerts and dashboards --------------------------------------------------------------------------------------------
@@ -354,17 +355,17 @@ def rank_correlation(spark, sf):
 
 @query
 def alert_score_p90(spark, sf):
-    return rounded(alerts.alert_score_p90(book(spark, sf).score_drift, DRIFT_2))
+    return rounded(alerts.alert_score_p90(book(spark, sf).score_drift, DRIFT_2), RATE)
 
 
 @query
 def alert_numeric_mean(spark, sf):
-    return rounded(alerts.alert_numeric_mean(book(spark, sf).feature_drift, DRIFT_2))
+    return rounded(alerts.alert_numeric_mean(book(spark, sf).feature_drift, DRIFT_2), RATE)
 
 
 @query
 def alert_categorical_share(spark, sf):
-    return rounded(alerts.alert_categorical_share(book(spark, sf).feature_drift, DRIFT_2))
+    return rounded(alerts.alert_categorical_share(book(spark, sf).feature_drift, DRIFT_2), RATE)
 
 
 @query
@@ -387,41 +388,41 @@ def dash_risk_bands(spark, sf):
 
 @query
 def dash_score_trend(spark, sf):
-    return rounded(dashboard.score_trend(book(spark, sf).dash_scored, book(spark, sf).score_drift))
+    return rounded(dashboard.score_trend(book(spark, sf).dash_scored, book(spark, sf).score_drift), RATE)
 
 
 @query
 def dash_feature_drift(spark, sf):
-    return rounded(dashboard.feature_drift_view(book(spark, sf).feature_drift, book(spark, sf).rollups), mean=3)
+    return rounded(dashboard.feature_drift_view(book(spark, sf).feature_drift, book(spark, sf).rollups), RATE, mean=3)
 
 
 @query
 def dash_alerts(spark, sf):
-    return rounded(dashboard.alert_view(book(spark, sf).alert_log, book(spark, sf).rollups))
+    return rounded(dashboard.alert_view(book(spark, sf).alert_log, book(spark, sf).rollups), RATE)
 
 
 @query
 def dash_summary(spark, sf):
     b = book(spark, sf)
     words = dashboard.alert_view(b.alert_log, b.rollups)
-    return rounded(dashboard.summary(b.rollups, b.metrics, b.dash_scored, words))
+    return rounded(dashboard.summary(b.rollups, b.metrics, b.dash_scored, words), RATE)
 
 
 @query
 def cutoff_what_if(spark, sf):
-    return rounded(dashboard.cutoff_what_if(book(spark, sf).risk_bands))
+    return rounded(dashboard.cutoff_what_if(book(spark, sf).risk_bands), RATE)
 
 
 @query
 def cutoff_what_if_long_term(spark, sf):
-    return rounded(dashboard.cutoff_what_if(book(spark, sf).risk_bands, "60 months"))
+    return rounded(dashboard.cutoff_what_if(book(spark, sf).risk_bands, "60 months"), RATE)
 
 
 @query
 def export_score_trend(spark, sf):
     """The exported CSV, read back."""
     folder, b = _scratch(spark, "export"), book(spark, sf)
-    export_views({"dash_score_trend": rounded(dashboard.score_trend(b.dash_scored, b.score_drift))}, folder)
+    export_views({"dash_score_trend": rounded(dashboard.score_trend(b.dash_scored, b.score_drift), RATE)}, folder)
     schema = ("model_version string, split string, month_start date, issue_month string, loans bigint, "
               "predicted_default_rate double, actual_default_rate double, median_pd double, p90_pd double")
     return spark.read.schema(schema).option("header", True).csv(f"{folder}/dash_score_trend")
@@ -439,7 +440,7 @@ def refresh_monitoring(spark, sf):
 
     store = Store(spark, root)
     monitoring_refresh(store, b.features, score, V2_RUN_2["valid"], f"{root}/extracts")
-    return rounded(store.read("score_drift"))
+    return rounded(store.read("score_drift"), RATE)
 
 
 # --- Implied rate -----------------------------------------------------------------------------------------------------

@@ -16,7 +16,7 @@ EVERYTHING = (*DRIFTS, ROLLUPS, METRICS, LABELS, ALERTS, DASH)
 ROLLUP_FIGURES = ["base_rate", *[f"{kind}_{k}" if kind != "top" else f"top_{k}_default_rate"
                                  for kind in ("top", "lift_at", "recall_at") for k in ("1pct", "5pct", "10pct")]]
 METRIC_FIGURES = ["roc_auc", "pr_auc", "brier", "base_rate", *ROLLUP_FIGURES[1:]]
-DRIFT_FIGURES = f"{rounded(['null_rate', 'top_category_share', 'entropy'])}, {rounded(['mean', 'std', 'min', 'max'], 3)}"
+DRIFT_FIGURES = f"{rounded(['null_rate', 'top_category_share', 'entropy'], 9)}, {rounded(['mean', 'std', 'min', 'max'], 3)}"
 TREND = ["predicted_default_rate", "actual_default_rate", "median_pd", "p90_pd"]
 
 _out: dict[str, str] = {}
@@ -41,12 +41,12 @@ _add("dedupe_loans", (BOOK,), f"SELECT loan_id, issue_date, loan_status, label,
 _add("clean_loans", (BOOK,), f"SELECT {', '.join(CLEAN_OTHER)}, {rounded(DOUBLES)} FROM clean")
 _add("cut_dates", (BOOK,), "SELECT valid_from, test_from FROM cuts")
 _add("time_split", (BOOK,), """SELECT split, count(*) AS loans, min(issue_date) AS first_date,
-  max(issue_date) AS last_date, round(avg(label), 6) + 0.0 AS default_rate FROM features GROUP BY split""")
+  max(issue_date) AS last_date, round(avg(label), 9) + 0.0 AS default_rate FROM features GROUP BY split""")
 _add("build_features", (BOOK,), f"SELECT {', '.join(CLEAN_OTHER)}, split, {rounded(DOUBLES)} FROM features")
 _add("build_features_with_line_date", (BOOK,), """SELECT f.loan_id, f.issue_date, d.earliest_cr_line_date,
   f.credit_history_years, f.split FROM features f JOIN dedup d USING (loan_id)""")
 _add("monthly_default_rate", (BOOK,), """SELECT split, strftime(issue_date, '%Y-%m') AS issue_month, count(*) AS loans,
-  round(avg(label), 6) + 0.0 AS default_rate FROM features GROUP BY ALL""")
+  round(avg(label), 9) + 0.0 AS default_rate FROM features GROUP BY ALL""")
 _add("reconcile_features", (BOOK, """
 clean_b AS (SELECT * FROM clean WHERE issue_date <= DATE '2001-03-01'),
 cuts_b AS (SELECT quantile_disc(issue_date, 0.8) AS a, quantile_disc(issue_date, 0.9) AS b FROM clean_b),
@@ -93,7 +93,7 @@ bounds AS (SELECT split, min(issue_date) AS first_date, max(issue_date) AS last_
          "b.split = 'valid') OR (a.split = 'valid' AND b.split = 'test')) AND a.last_date >= b.first_date",
      ]))
 
-_REPORT = 'SELECT "check", severity, subject, round(value, 6) + 0.0 AS value, message FROM v_report'
+_REPORT = 'SELECT "check", severity, subject, round(value, 9) + 0.0 AS value, message FROM v_report'
 _add("validation_report", (BOOK, report("SELECT * FROM features", True)), _REPORT)
 _add("validation_full_size", (BOOK, report("SELECT * FROM features", False)), _REPORT)
 _columns = ", ".join(["loan_id", "issue_date", "label",
@@ -116,16 +116,16 @@ _add("current_model", (*SCORES, ROLLUPS), """SELECT model_version, split, n FROM
   WHERE model_version = (SELECT model_version FROM rollups ORDER BY ts DESC, model_version DESC LIMIT 1)""")
 _add("upsert_score_drift", (*SCORES, SCORE_DRIFT), f"SELECT {MONTH}, ts, n FROM score_drift")
 _add("append_positional", SCORES, """SELECT CAST(ts AS DATE) AS run_date, model_version, split, count(*) AS loans,
-  count(p_default) AS scored, count(issue_date) AS dated, round(avg(p_default), 6) + 0.0 AS avg_pd
+  count(p_default) AS scored, count(issue_date) AS dated, round(avg(p_default), 9) + 0.0 AS avg_pd
   FROM predictions GROUP BY ALL""")
 _add("score_drift_months", (*SCORES, SCORE_DRIFT),
-     f"SELECT ts, {MONTH}, n, {rounded(['avg_pd', 'p50', 'p90', 'p99'])} FROM drift_new")
+     f"SELECT ts, {MONTH}, n, {rounded(['avg_pd', 'p50', 'p90', 'p99'], 9)} FROM drift_new")
 _add("score_drift_table", (*SCORES, SCORE_DRIFT),
-     f"SELECT ts, {MONTH}, n, {rounded(['avg_pd', 'p50', 'p90', 'p99'])} FROM score_drift")
-_add("numeric_drift_stats", DRIFTS, f"""SELECT {MONTH}, feature_name, feature_type, n, {rounded(['null_rate'])},
+     f"SELECT ts, {MONTH}, n, {rounded(['avg_pd', 'p50', 'p90', 'p99'], 9)} FROM score_drift")
+_add("numeric_drift_stats", DRIFTS, f"""SELECT {MONTH}, feature_name, feature_type, n, {rounded(['null_rate'], 9)},
   {rounded(['mean', 'std', 'min', 'max'], 3)} FROM num_drift WHERE model_version = 'v2'""")
 _add("categorical_drift_stats", DRIFTS, f"""SELECT {MONTH}, feature_name, feature_type, n, top_category,
-  {rounded(['null_rate', 'top_category_share', 'entropy'])} FROM cat_drift WHERE model_version = 'v2'""")
+  {rounded(['null_rate', 'top_category_share', 'entropy'], 9)} FROM cat_drift WHERE model_version = 'v2'""")
 _add("feature_drift_table", DRIFTS,
      f"SELECT ts, {MONTH}, feature_name, feature_type, n, top_category, {DRIFT_FIGURES} FROM feature_drift")
 _add("feature_drift_values_only", DRIFTS, f"""
@@ -136,46 +136,46 @@ SELECT TIMESTAMP '2001-08-02 01:00:00' AS ts, {MONTH}, feature_name, 'numeric' A
 FROM num_long WHERE model_version = 'v2' AND v IS NOT NULL GROUP BY {MONTH}, feature_name
 UNION ALL
 SELECT TIMESTAMP '2001-08-02 01:00:00', {MONTH}, feature_name, feature_type, CAST(seen AS BIGINT), 0.0, NULL, NULL, NULL,
-  NULL, top_category, round(top_category_share, 6) + 0.0, round(entropy, 6) + 0.0
+  NULL, top_category, round(top_category_share, 9) + 0.0, round(entropy, 9) + 0.0
 FROM cat_drift JOIN cat_totals USING ({MONTH}, feature_name) WHERE model_version = 'v2' AND seen > 0""")
 
 # --- Ranking quality and calibration ----------------------------------------------------------------------------------
 
-_add("percent_ranks", (*SCORES, ROLLUPS), """SELECT model_version, split, round(p_default, 6) + 0.0 AS p_default,
-  count(*) AS n, round(max(pr), 6) + 0.0 AS pct_rank FROM ranked GROUP BY model_version, split, ranked.p_default""")
+_add("percent_ranks", (*SCORES, ROLLUPS), """SELECT model_version, split, round(p_default, 9) + 0.0 AS p_default,
+  count(*) AS n, round(max(pr), 9) + 0.0 AS pct_rank FROM ranked GROUP BY model_version, split, ranked.p_default""")
 _add("ranking_rollup", (*SCORES, ROLLUPS), f"""SELECT TIMESTAMP '2001-08-02 01:00:00' AS ts, model_version, split, n,
-  {rounded(ROLLUP_FIGURES)} FROM rollups""")
+  {rounded(ROLLUP_FIGURES, 9)} FROM rollups""")
 _add("binary_metrics_by_run", (*SCORES, METRICS),
-     f"SELECT model_version, split, n, {rounded(METRIC_FIGURES)} FROM metrics_figures")
+     f"SELECT model_version, split, n, {rounded(METRIC_FIGURES, 9)} FROM metrics_figures")
 _add("exact_top_k", (*SCORES, METRICS), """SELECT model_version, split, k_1pct, k_5pct, k_10pct, top_1pct_defaults,
   top_5pct_defaults, top_10pct_defaults FROM metrics""")
 _add("metrics_rows", (*SCORES, METRICS), """SELECT TIMESTAMP '2001-08-02 01:00:00' AS ts, model_version, split,
-  round(roc_auc, 6) + 0.0 AS roc_auc, round(pr_auc, 6) + 0.0 AS pr_auc, round(brier, 6) + 0.0 AS brier,
-  round(lift_at_5pct, 6) + 0.0 AS json_lift_at_5pct, """ + ", ".join(
-      f"round(top_{k}_default_rate, 6) + 0.0 AS top_{k}_precision, round(recall_at_{k}, 6) + 0.0 AS top_{k}_recall"
+  round(roc_auc, 9) + 0.0 AS roc_auc, round(pr_auc, 9) + 0.0 AS pr_auc, round(brier, 9) + 0.0 AS brier,
+  round(lift_at_5pct, 9) + 0.0 AS json_lift_at_5pct, """ + ", ".join(
+      f"round(top_{k}_default_rate, 9) + 0.0 AS top_{k}_precision, round(recall_at_{k}, 9) + 0.0 AS top_{k}_recall"
       for k in ("1pct", "5pct", "10pct")) + " FROM metrics_figures")
 _add("rank_documents", ("""
 rated AS (SELECT doc_id, lang, CAST(n_chars AS DOUBLE) AS score, CAST(quality AS BIGINT) AS label
   FROM labels JOIN documents USING (doc_id) WHERE quality IS NOT NULL)""",
                         metrics_ctes("rated", "lang", "score", "doc_id", "dm")),
-     "SELECT lang, n, round(roc_auc, 6) + 0.0 AS roc_auc, round(pr_auc, 6) + 0.0 AS pr_auc, "
-     "round(base_rate, 6) + 0.0 AS base_rate, " + ", ".join(
-         f"round(top_{k}_defaults / k_{k}, 6) + 0.0 AS top_{k}_default_rate, "
-         f"round(coalesce((top_{k}_defaults / k_{k}) / nullif(base_rate, 0), 0), 6) + 0.0 AS lift_at_{k}, "
-         f"round(top_{k}_defaults / greatest(1, pos), 6) + 0.0 AS recall_at_{k}" for k in ("1pct", "5pct", "10pct"))
+     "SELECT lang, n, round(roc_auc, 9) + 0.0 AS roc_auc, round(pr_auc, 9) + 0.0 AS pr_auc, "
+     "round(base_rate, 9) + 0.0 AS base_rate, " + ", ".join(
+         f"round(top_{k}_defaults / k_{k}, 9) + 0.0 AS top_{k}_default_rate, "
+         f"round(coalesce((top_{k}_defaults / k_{k}) / nullif(base_rate, 0), 0), 9) + 0.0 AS lift_at_{k}, "
+         f"round(top_{k}_defaults / greatest(1, pos), 9) + 0.0 AS recall_at_{k}" for k in ("1pct", "5pct", "10pct"))
      + " FROM dm")
 _edges = ", ".join(f"quantile_cont(p_default, {i / 10}) AS e{i}" for i in range(1, 10))
 _bin = " + ".join(f"CASE WHEN e{i} < p_default THEN 1 ELSE 0 END" for i in range(1, 10))
 _add("reliability_bins", (*SCORES, f"""
 edges AS (SELECT model_version, split, {_edges} FROM scored GROUP BY model_version, split)"""),
      f"""SELECT model_version, split, CAST({_bin} AS BIGINT) AS bin, count(*) AS loans,
-  round(avg(p_default), 6) + 0.0 AS mean_predicted, round(avg(label), 6) + 0.0 AS observed_rate
+  round(avg(p_default), 9) + 0.0 AS mean_predicted, round(avg(label), 9) + 0.0 AS observed_rate
   FROM scored JOIN edges USING (model_version, split) GROUP BY ALL""")
 _add("brier_skill_by_run", (*SCORES, """
 skill AS (SELECT model_version, split, avg(label) AS base_rate, avg(pow(p_default - label, 2)) AS brier
-  FROM scored GROUP BY model_version, split)"""), """SELECT model_version, split, round(base_rate, 6) + 0.0 AS base_rate,
-  round(brier, 6) + 0.0 AS brier, round(base_rate * (1 - base_rate), 6) + 0.0 AS brier_ceiling,
-  round(1 - brier / nullif(base_rate * (1 - base_rate), 0), 6) + 0.0 AS brier_skill FROM skill""")
+  FROM scored GROUP BY model_version, split)"""), """SELECT model_version, split, round(base_rate, 9) + 0.0 AS base_rate,
+  round(brier, 9) + 0.0 AS brier, round(base_rate * (1 - base_rate), 9) + 0.0 AS brier_ceiling,
+  round(1 - brier / nullif(base_rate * (1 - base_rate), 0), 9) + 0.0 AS brier_skill FROM skill""")
 _add("income_quantiles", (BOOK,), "SELECT grade, " + ", ".join(
     f"round(quantile_cont(annual_income, {q}), 4) + 0.0 AS {n}" for n, q in (("p10", 0.1), ("median", 0.5), ("p95", 0.95)))
      + " FROM features GROUP BY grade")
@@ -187,14 +187,14 @@ r AS (SELECT split, open_acc AS x, total_acc AS y,
   rank() OVER (PARTITION BY split ORDER BY total_acc) + (count(*) OVER (PARTITION BY split, total_acc) - 1) / 2 AS ry
   FROM features WHERE open_acc IS NOT NULL AND total_acc IS NOT NULL)"""),
      """SELECT split, count(*) AS rows, count(DISTINCT x) AS distinct_x, count(DISTINCT y) AS distinct_y,
-  round(corr(rx, ry), 6) + 0.0 AS rho FROM r GROUP BY split""")
+  round(corr(rx, ry), 9) + 0.0 AS rho FROM r GROUP BY split""")
 
 # --- Alerts and dashboards --------------------------------------------------------------------------------------------
 
 for _name, _table in (("alert_score_p90", "alert_p90"), ("alert_numeric_mean", "alert_mean"),
                       ("alert_categorical_share", "alert_share")):
     _add(_name, (*DRIFTS, ALERTS), f"""SELECT ts, model_version, split, issue_month, alert_type, entity,
-  {rounded(['value', 'threshold'])}, severity, details FROM {_table}""")
+  {rounded(['value', 'threshold'], 9)}, severity, details FROM {_table}""")
 _add("feature_labels", (*DRIFTS, LABELS), """SELECT feature_name, feature_label, feature_group,
   CAST(sum(n) AS BIGINT) AS values_seen FROM labels_table LEFT JOIN feature_drift USING (feature_name) GROUP BY ALL""")
 _add("dash_scored", EVERYTHING, f"""SELECT model_version, split, loan_id, issue_month, term_months,
@@ -202,17 +202,17 @@ _add("dash_scored", EVERYTHING, f"""SELECT model_version, split, loan_id, issue_
 _add("dash_risk_bands", EVERYTHING, f"""SELECT model_version, split, risk_band, loan_term, loans, defaults, repaid,
   {rounded(['predicted_defaults', 'min_pd', 'max_pd'])} FROM risk_bands""")
 _add("dash_score_trend", EVERYTHING,
-     f"SELECT model_version, split, month_start, issue_month, loans, {rounded(TREND)} FROM score_trend")
+     f"SELECT model_version, split, month_start, issue_month, loans, {rounded(TREND, 9)} FROM score_trend")
 _out["export_score_trend"] = _out["dash_score_trend"]
 _add("dash_feature_drift", EVERYTHING, f"""SELECT model_version, split, month_start, issue_month, feature_name,
-  feature_label, feature_group, feature_type, loans, {rounded(['null_rate'])}, {rounded(['mean'], 3)}, top_category,
-  {rounded(['top_category_share', 'change_vs_prev_month', 'change_vs_first_month'])}, change_measure, status
+  feature_label, feature_group, feature_type, loans, {rounded(['null_rate'], 9)}, {rounded(['mean'], 3)}, top_category,
+  {rounded(['top_category_share', 'change_vs_prev_month', 'change_vs_first_month'], 9)}, change_measure, status
   FROM drift_view""")
 _add("dash_alerts", EVERYTHING, f"""SELECT checked_at, model_version, split, period, month_start, issue_month, alert_type,
-  severity, severity_rank, what_changed, message, {rounded(['value', 'threshold'])}, technical_details FROM alert_words""")
+  severity, severity_rank, what_changed, message, {rounded(['value', 'threshold'], 9)}, technical_details FROM alert_words""")
 _add("dash_summary", EVERYTHING, f"""SELECT model_version, split, refreshed_at, loans, {rounded([
     'actual_default_rate', 'predicted_default_rate', 'top_5pct_default_rate', 'lift_at_1pct', 'lift_at_5pct',
-    'lift_at_10pct', 'recall_at_1pct', 'recall_at_5pct', 'recall_at_10pct', 'roc_auc', 'pr_auc', 'brier'])},
+    'lift_at_10pct', 'recall_at_1pct', 'recall_at_5pct', 'recall_at_10pct', 'roc_auc', 'pr_auc', 'brier'], 9)},
   critical_alerts, warning_alerts, status, headline, tile_lift, tile_capture, tile_calibration FROM summary_words""")
 
 
@@ -228,16 +228,16 @@ what_if AS (SELECT model_version, split, risk_band AS decline_pct, sum(loans) OV
 
 _WHAT_IF = """SELECT model_version, split, decline_pct, CAST(declined AS BIGINT) AS declined_loans,
   CAST(avoided AS BIGINT) AS defaults_avoided, CAST(declined - avoided AS BIGINT) AS good_turned_away,
-  round((loans - declined) / loans, 6) + 0.0 AS approval_rate,
-  round((defaults - avoided) / nullif(loans - declined, 0), 6) + 0.0 AS approved_default_rate,
-  round(avoided / nullif(defaults, 0), 6) + 0.0 AS share_of_defaults_caught,
-  round(band_default_rate, 6) + 0.0 AS band_default_rate FROM what_if"""
+  round((loans - declined) / loans, 9) + 0.0 AS approval_rate,
+  round((defaults - avoided) / nullif(loans - declined, 0), 9) + 0.0 AS approved_default_rate,
+  round(avoided / nullif(defaults, 0), 9) + 0.0 AS share_of_defaults_caught,
+  round(band_default_rate, 9) + 0.0 AS band_default_rate FROM what_if"""
 _add("cutoff_what_if", (*EVERYTHING, _what_if("")), _WHAT_IF)
 _add("cutoff_what_if_long_term", (*EVERYTHING, _what_if("WHERE loan_term = '60 months'")), _WHAT_IF)
 _add("refresh_monitoring", (BOOK,), """
 SELECT TIMESTAMP '2001-08-02 00:00:00' AS ts, 'v3' AS model_version, split, strftime(issue_date, '%Y-%m') AS issue_month,
-  count(*) AS n, round(avg(p), 6) + 0.0 AS avg_pd, round(quantile_disc(p, 0.5), 6) + 0.0 AS p50,
-  round(quantile_disc(p, 0.9), 6) + 0.0 AS p90, round(quantile_disc(p, 0.99), 6) + 0.0 AS p99
+  count(*) AS n, round(avg(p), 9) + 0.0 AS avg_pd, round(quantile_disc(p, 0.5), 9) + 0.0 AS p50,
+  round(quantile_disc(p, 0.9), 9) + 0.0 AS p90, round(quantile_disc(p, 0.99), 9) + 0.0 AS p99
 FROM (SELECT split, issue_date, CAST((37 * CAST(loan_id AS BIGINT)) % 200 AS DOUBLE) / 400 AS p FROM features
       WHERE split IN ('valid', 'test')) GROUP BY split, issue_month""")
 
