@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from arrears.constants import (
     CATEGORICAL_FEATURES, NUMERIC_FEATURES, PREDICTIONS_SCHEMA, SCORED_SPLITS)
 from arrears.operators import alerts, dashboard, features, quality, rates, reasons
-from arrears.operators.contributions import fold_contributions, tree_contributions
 from arrears.operators.drift import MONTH_KEYS, categorical_drift, drift_base, feature_drift, numeric_drift, score_drift
 from arrears.operators.history import latest_run, newest_model, upsert
 from arrears.operators.metrics import (
@@ -22,7 +21,9 @@ from arrears.operators.model import ablation, evaluate_splits, score_split, trai
 from arrears.operators.ranks import (
     cumulate, discrete_quantiles, histogram, interpolated_quantiles, percent_rank_from, spearman)
 from arrears.plans.book import DRIFT_1, DRIFT_2, FEATURE_SET_WEIGHTS, NUMERIC_WEIGHTS, V2_RUN_2, book, fixed_score
+from arrears.plans.explaining import explanation_run
 from arrears.plans.monitoring import Store, export_views, monitoring_refresh
+from arrears.plans.training import training_run
 from arrears.shared import settle, shared_dir
 from arrears.sources.order_book import MATURITY_GUARD
 from arrears.sources.raw_csv import load_raw_csv, read_csv_split
@@ -554,12 +555,18 @@ def ablation_table(spark, sf):
     return ablation(book(spark, sf).features, "trees", rounds=TREE_ROUNDS)
 
 
+@query
+def training(spark, sf):
+    """A training run on the lender-independent inputs; returns the stored metrics."""
+    store = Store(spark, _scratch(spark, "training"))
+    training_run(store, book(spark, sf).features, "trees", DRIFT_2, "no_lc", TREE_ROUNDS, skip_validation=True,
+                 save_to=store.path("model"))
+    return store.read("model_metrics").drop("run_date")
+
+
 @query
 def tree_reasons(spark, sf):
     """Reason codes of the declined test loans from exact contributions of boosted trees."""
     b = book(spark, sf)
     model = train_model(b.features, "trees", "no_lc_strict", TREE_ROUNDS)
-    rows = settle(model.score(tree_contributions(model, read_split(b.features, "test"))), "tree-explained")
-    folded = fold_contributions(reasons.with_decision(rows), model.owners)
-    return reasons.reason_table(
-        reasons.explain_declines(folded, [*model.numeric, *model.categorical], rescore=model.score))
+    return explanation_run(model, read_split(b.features, "test"), _scratch(spark, "reasons"))[0]
