@@ -42,6 +42,17 @@ def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
         for name, kind in df.dtypes])
 
 
+def rounded_drift(df: DataFrame, n: str = "n", **digits: int) -> DataFrame:
+    """Drift figures for comparison. A mean of amounts in cents can end in a 5 just where it is rounded, so it is taken
+    back to its total, whose cents are certain, and divided again."""
+    values = F.round(F.col(n) * (1 - F.col("null_rate")))
+    mean = F.try_divide(F.round(F.col("mean") * values, 5), values).alias("mean")
+    return df.select(*[
+        mean if name == "mean"
+        else (F.round(name, digits.get(name, RATE)) + F.lit(0.0)).alias(name) if kind == "double" else F.col(name)
+        for name, kind in df.dtypes])
+
+
 def query(build: Query) -> Query:
     _catalog[build.__name__] = build
     return build
@@ -262,7 +273,7 @@ def score_drift_table(spark, sf):
 @query
 def numeric_drift_stats(spark, sf):
     base = drift_base(book(spark, sf).predictions, book(spark, sf).features, "v2")
-    return rounded(numeric_drift(base), RATE, mean=3, std=3, min=3, max=3)
+    return rounded_drift(numeric_drift(base), std=3, min=3, max=3)
 
 
 @query
@@ -272,14 +283,14 @@ def categorical_drift_stats(spark, sf):
 
 @query
 def feature_drift_table(spark, sf):
-    return rounded(book(spark, sf).feature_drift, RATE, mean=3, std=3, min=3, max=3)
+    return rounded_drift(book(spark, sf).feature_drift, std=3, min=3, max=3)
 
 
 @query
 def feature_drift_values_only(spark, sf):
     """Missing values left out before counting."""
     rows = feature_drift(book(spark, sf).predictions, book(spark, sf).features, DRIFT_2, include_nulls=False)
-    return rounded(rows, RATE, mean=3, std=3, min=3, max=3)
+    return rounded_drift(rows, std=3, min=3, max=3)
 
 
 # --- Ranking quality and calibration ----------------------------------------------------------------------------------
@@ -394,7 +405,7 @@ def dash_score_trend(spark, sf):
 
 @query
 def dash_feature_drift(spark, sf):
-    return rounded(dashboard.feature_drift_view(book(spark, sf).feature_drift, book(spark, sf).rollups), RATE, mean=3)
+    return rounded_drift(dashboard.feature_drift_view(book(spark, sf).feature_drift, book(spark, sf).rollups), "loans")
 
 
 @query

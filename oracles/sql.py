@@ -16,9 +16,18 @@ EVERYTHING = (*DRIFTS, ROLLUPS, METRICS, LABELS, ALERTS, DASH)
 ROLLUP_FIGURES = ["base_rate", *[f"{kind}_{k}" if kind != "top" else f"top_{k}_default_rate"
                                  for kind in ("top", "lift_at", "recall_at") for k in ("1pct", "5pct", "10pct")]]
 METRIC_FIGURES = ["roc_auc", "pr_auc", "brier", "base_rate", *ROLLUP_FIGURES[1:]]
-DRIFT_FIGURES = f"{rounded(['null_rate', 'top_category_share', 'entropy'], 9)}, {rounded(['mean', 'std', 'min', 'max'], 3)}"
+
+
+def _mean(n: str = "n") -> str:
+    values = f"round({n} * (1 - null_rate))"
+    return f"round(mean * {values}, 5) / nullif({values}, 0) AS mean"
+
+
 TREND = ["predicted_default_rate", "actual_default_rate", "median_pd", "p90_pd"]
 
+DRIFT_FIGURES = (f"{rounded(['null_rate', 'top_category_share', 'entropy'], 9)}, {_mean()}, "
+                 f"{rounded(['std', 'min', 'max'], 3)}")
+
 _out: dict[str, str] = {}
 
 
@@ -123,14 +132,14 @@ _add("score_drift_months", (*SCORES, SCORE_DRIFT),
 _add("score_drift_table", (*SCORES, SCORE_DRIFT),
      f"SELECT ts, {MONTH}, n, {rounded(['avg_pd', 'p50', 'p90', 'p99'], 9)} FROM score_drift")
 _add("numeric_drift_stats", DRIFTS, f"""SELECT {MONTH}, feature_name, feature_type, n, {rounded(['null_rate'], 9)},
-  {rounded(['mean', 'std', 'min', 'max'], 3)} FROM num_drift WHERE model_version = 'v2'""")
+  {_mean()}, {rounded(['std', 'min', 'max'], 3)} FROM num_drift WHERE model_version = 'v2'""")
 _add("categorical_drift_stats", DRIFTS, f"""SELECT {MONTH}, feature_name, feature_type, n, top_category,
   {rounded(['null_rate', 'top_category_share', 'entropy'], 9)} FROM cat_drift WHERE model_version = 'v2'""")
 _add("feature_drift_table", DRIFTS,
      f"SELECT ts, {MONTH}, feature_name, feature_type, n, top_category, {DRIFT_FIGURES} FROM feature_drift")
 _add("feature_drift_values_only", DRIFTS, f"""
 SELECT TIMESTAMP '2001-08-02 01:00:00' AS ts, {MONTH}, feature_name, 'numeric' AS feature_type, count(v) AS n,
-  0.0::DOUBLE AS null_rate, round(avg(v), 3) + 0.0 AS mean, round(stddev_samp(v), 3) + 0.0 AS std,
+  0.0::DOUBLE AS null_rate, round(avg(v) * count(v), 5) / count(v) AS mean, round(stddev_samp(v), 3) + 0.0 AS std,
   round(min(v), 3) + 0.0 AS min, round(max(v), 3) + 0.0 AS max, NULL::VARCHAR AS top_category,
   NULL::DOUBLE AS top_category_share, NULL::DOUBLE AS entropy
 FROM num_long WHERE model_version = 'v2' AND v IS NOT NULL GROUP BY {MONTH}, feature_name
@@ -205,7 +214,7 @@ _add("dash_score_trend", EVERYTHING,
      f"SELECT model_version, split, month_start, issue_month, loans, {rounded(TREND, 9)} FROM score_trend")
 _out["export_score_trend"] = _out["dash_score_trend"]
 _add("dash_feature_drift", EVERYTHING, f"""SELECT model_version, split, month_start, issue_month, feature_name,
-  feature_label, feature_group, feature_type, loans, {rounded(['null_rate'], 9)}, {rounded(['mean'], 3)}, top_category,
+  feature_label, feature_group, feature_type, loans, {rounded(['null_rate'], 9)}, {_mean('loans')}, top_category,
   {rounded(['top_category_share', 'change_vs_prev_month', 'change_vs_first_month'], 9)}, change_measure, status
   FROM drift_view""")
 _add("dash_alerts", EVERYTHING, f"""SELECT checked_at, model_version, split, period, month_start, issue_month, alert_type,
