@@ -9,7 +9,7 @@ from arrears.constants import DRIFT_CATEGORICAL, DRIFT_NUMERIC, FEATURE_DRIFT_SC
 from arrears.functions.parse import month_key
 from arrears.operators.history import latest_run, newest_model
 from arrears.operators.metrics import RUN_KEYS, run_time
-from arrears.operators.ranks import ROWS_PER_TASK, _value_at, cumulate, histogram
+from arrears.operators.ranks import ROWS_PER_TASK, value_at, cumulate, histogram
 from arrears.shared import settle
 
 MONTH_KEYS = ["model_version", "split", "issue_month"]
@@ -36,7 +36,7 @@ def score_drift(
         size = F.col("total_n")
         stats = ranked.groupBy(*MONTH_KEYS).agg(
             F.sum("n").alias("n"), (F.sum(F.col("p_default") * F.col("n")) / F.sum("n")).alias("avg_pd"),
-            *[_value_at("p_default", F.greatest(F.lit(1), size - F.floor(size - size * F.lit(q)))).alias(name)
+            *[value_at("p_default", F.greatest(F.lit(1), size - F.floor(size - size * F.lit(q)))).alias(name)
               for name, q in shares.items()])
     return stats.select(run_time(run_ts).alias("ts"), *MONTH_KEYS, "n", "avg_pd", "p50", "p90", "p99")
 

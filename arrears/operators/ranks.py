@@ -90,7 +90,7 @@ def number_rows(df: DataFrame, groups: list[str], order: list[Column], name: str
         *[rows[column] for column in df.columns], position.alias(name), F.col(f"{name}_of"))
 
 
-def _value_at(value: str, rank: Column) -> Column:
+def value_at(value: str, rank: Column) -> Column:
     """Value holding the 1-based ``rank``, picked while the cumulated histogram is aggregated by group."""
     return F.max(F.when((F.col("before_n") < rank) & (rank <= F.col("before_n") + F.col("n")), F.col(value)))
 
@@ -102,7 +102,7 @@ def discrete_quantiles(
     cumulated = cumulate(histogram(df, groups, value), groups, value, ["n"], rows_per_task=rows_per_task)
     size = F.col("total_n")
     rank = {name: F.greatest(F.lit(1), size - F.floor(size - size * F.lit(q))) for name, q in shares.items()}
-    return cumulated.groupBy(*groups).agg(*[_value_at(value, rank[name]).alias(name) for name in shares])
+    return cumulated.groupBy(*groups).agg(*[value_at(value, rank[name]).alias(name) for name in shares])
 
 
 def interpolated_quantiles(
@@ -112,8 +112,8 @@ def interpolated_quantiles(
     cumulated = cumulate(histogram(df, groups, value), groups, value, ["n"], rows_per_task=rows_per_task)
     spot = {name: (F.col("total_n") - 1) * F.lit(q) for name, q in shares.items()}
     picked = cumulated.groupBy(*groups).agg(
-        *[_value_at(value, F.floor(at) + 1).alias(f"_lo_{name}") for name, at in spot.items()],
-        *[_value_at(value, F.ceil(at) + 1).alias(f"_hi_{name}") for name, at in spot.items()],
+        *[value_at(value, F.floor(at) + 1).alias(f"_lo_{name}") for name, at in spot.items()],
+        *[value_at(value, F.ceil(at) + 1).alias(f"_hi_{name}") for name, at in spot.items()],
         *[F.max(at - F.floor(at)).alias(f"_t_{name}") for name, at in spot.items()])
     between = {
         name: F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * F.col(f"_t_{name}")

@@ -105,13 +105,15 @@ class Book:
                 F.when(F.col("dti") >= 1, day)))
         return settle(runs.withColumn("run_date", F.to_date("ts")), "predictions", ["run_date"])
 
-    def _before_second_run(self) -> DataFrame:
+    @property
+    def before_second_run(self) -> DataFrame:
+        """The prediction log before the last scoring run."""
         return self.predictions.where(F.col("ts") < run_time(V2_RUN_2["valid"]))
 
     @cached_property
     def score_drift(self) -> DataFrame:
         """Drift after both runs: months the second run did not score keep their older row."""
-        first = score_drift(self._before_second_run(), DRIFT_1)
+        first = score_drift(self.before_second_run, DRIFT_1)
         return settle(upsert(first, score_drift(self.predictions, DRIFT_2), MONTH_KEYS), "score-drift")
 
     @cached_property

@@ -5,6 +5,7 @@ Doubles are rounded here, and only here, so that results can be compared across
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,7 +64,6 @@ def catalog() -> dict[str, Query]:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    import uuid
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
@@ -243,7 +243,7 @@ def current_model(spark, sf):
 @query
 def upsert_score_drift(spark, sf):
     new = score_drift(book(spark, sf).predictions, DRIFT_2)
-    old = score_drift(book(spark, sf)._before_second_run(), DRIFT_1)
+    old = score_drift(book(spark, sf).before_second_run, DRIFT_1)
     return upsert(old, new, MONTH_KEYS).select(*MONTH_KEYS, "ts", "n")
 
 
