@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from arrears.constants import (
     ALERTS_SCHEMA, FEATURE_DRIFT_SCHEMA, METRICS_SCHEMA, PREDICTIONS_SCHEMA, ROLLUPS_SCHEMA, SCORE_DRIFT_SCHEMA,

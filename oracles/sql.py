@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from arrears.plans.book import FEATURE_SET_WEIGHTS, INTERCEPT, NUMERIC_WEIGHTS
 from oracles.tables import (
-    ALERTS, BOOK, DASH, DRIFT_NUMERIC, DRIFT_TEXT, FEATURE_DRIFT, LABELS, METRICS, MODEL_NUMERIC, MODEL_TEXT, MONTH,
+    ALERTS, BOOK, DASH, FEATURE_DRIFT, LABELS, METRICS, MODEL_NUMERIC, MODEL_TEXT, MONTH,
     NUMBERS, PREDICTIONS, ROLLUPS, SCORE_DRIFT, STAGED, TEXTS, metrics_ctes, rounded, with_tables)
 from oracles.validation import report
 
