@@ -24,15 +24,16 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: s
             end_id: int = END_ID) -> DataFrame:
     """Written table: id, ids (binary, 4 bytes each, end id last), n, part, rid, local (ids before it in its task)."""
     path = path or tokens.vocabulary()
+    ranked = tokens.by_rank(path)
 
     def factory():
-        units, at, end = tokens.Units(path, tokens.packed), 0, tokens.packed([end_id])
+        encoder, at = tokens.Encoder(path, ranked), 0
 
         def work(texts: list) -> list[tuple]:
             nonlocal at
             rows = []
             for t in texts:
-                ids = b"".join(units.of(t or "")) + end
+                ids = tokens.packed([*(encoder.ids(t) if t else ()), end_id])
                 rows.append((ids, len(ids) // 4, at))
                 at += len(ids) // 4
             return rows

@@ -32,11 +32,14 @@ def frequent_units(docs: DataFrame, text: str = "text", table_size: int = 32_768
         def add(texts: list) -> None:
             nonlocal seen
             for t in texts:
-                seen.update(u for u in tokens.UNITS.findall(t) if len(u) <= longest) if t else None
+                seen.update(tokens.UNITS.findall(t) if t else ())
             if len(seen) > COUNTER_SIZE:
-                seen = Counter(dict(seen.most_common(COUNTER_SIZE // 2)))
+                seen = Counter(dict(short(COUNTER_SIZE // 2)))
 
-        return add, lambda: seen.most_common(per_task)
+        def short(most: int) -> list[tuple[str, int]]:
+            return Counter({u: n for u, n in seen.items() if len(u) <= longest}).most_common(most)
+
+        return add, lambda: short(per_task)
 
     summary = common.summarise(docs, text, "unit string, n long", factory)
     top = summary.groupBy("unit").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "unit").limit(table_size)
@@ -47,15 +50,15 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", pa
                  limit: int = 512, table_size: int = 32_768) -> DataFrame:
     """Per row: id, n_bytes, n_tokens, over_limit."""
     path = path or tokens.vocabulary()
-    encoder = tokens.Units(path, len)
-    frequent = {u: n for u in frequent_units(docs, text, table_size) if not encoder.whole.search(u)
-                for n in [len(encoder.ids(u))]}
+    ranked = tokens.by_rank(path)
+    encoder = tokens.Encoder(path, ranked)
+    frequent = {u: len(encoder.ids(u)) for u in frequent_units(docs, text, table_size) if not encoder.whole.search(u)}
     table = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def factory():
-        units = tokens.Units(path, len, table.value)
+        units = tokens.Units(path, ranked, table.value)
         return lambda texts: [
-            (len((t or "").encode()), n, n > limit) for t in texts for n in [sum(units.of(t or ""))]]
+            (len((t or "").encode()), n, n > limit) for t in texts for n in [units.count(t or "")]]
 
     return common.map_rows(docs, text, [id_col], "n_bytes long, n_tokens long, over_limit boolean", factory)
 

@@ -58,12 +58,11 @@ def sequence_of(slots: np.ndarray, n: int, key: int) -> np.ndarray:
 
 def sequences(docs: DataFrame, text: str, path: str, size: int, end_id: int, width: int) -> DataFrame:
     """Written table: part, k (number inside the task), ids (size * width bytes)."""
-    kind = f"<u{width}"
+    kind, ranked = f"<u{width}", tokens.by_rank(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, k, stride = TaskContext.get().partitionId(), 0, size * width
-        units = tokens.Units(path, lambda ids: np.array(ids, kind).tobytes())
-        end, rest = np.array([end_id], kind).tobytes(), b""
+        encoder, rest = tokens.Encoder(path, ranked), b""
 
         def batch(rows: list[bytes]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -73,7 +72,8 @@ def sequences(docs: DataFrame, text: str, path: str, size: int, end_id: int, wid
         for whole in batches:
             for at in range(0, whole.num_rows, common.ROWS_AT_ONCE):
                 texts = whole.slice(at, common.ROWS_AT_ONCE).column(0).to_pylist()
-                rest = b"".join([rest, *(x for t in texts for x in (*units.of(t or ""), end))])
+                rest = b"".join([rest, *(
+                    np.array([*(encoder.ids(t) if t else ()), end_id], kind).tobytes() for t in texts)])
                 whole_ones = len(rest) // stride
                 if whole_ones:
                     yield batch([rest[i * stride:(i + 1) * stride] for i in range(whole_ones)])
