@@ -23,6 +23,7 @@ SUBSTITUTE, SKIP, ONE_OF_RUN, TWO_OF_RUN, TWO_OF_PAIR, NEW_WORD = -1.0, -0.5, -0
 EDGE = ".,;:!?()[]{}\"'«»¿¡…-_*"
 #: Letters written apart: four or more single signs with one separator or blank between them.
 SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+])(?:[ ._\-*](?:[^\W_]|[@$!|+])){3,}(?!\S)")
+TRIPLE = re.compile(r"(.)\1\1", re.DOTALL)
 _CODES = np.full(256, 0, np.uint8)
 _CODES[97:123] = np.arange(1, 27)
 _CODES[192:256] = 27
@@ -51,10 +52,10 @@ def log_model(counts: np.ndarray) -> np.ndarray:
 
 def disguised(token: str) -> bool:
     """Whether a lower-case token may hide a word: look-alikes or separators among letters, or a run of three."""
-    letters = sum(ch.isalpha() for ch in token)
-    if letters == len(token):
-        return any(a == b == c for a, b, c in zip(token, token[1:], token[2:], strict=False))
-    return letters >= 1 and all(ch.isalpha() or ch in LOOKALIKES or ch in SEPARATORS for ch in token)
+    if token.isalpha():
+        return TRIPLE.search(token) is not None
+    return any(map(str.isalpha, token)) and all(
+        ch.isalpha() or ch in LOOKALIKES or ch in SEPARATORS for ch in token)
 
 
 def decode(token: str, model: list, spaced: bool = False) -> str:
@@ -95,36 +96,47 @@ def decode(token: str, model: list, spaced: bool = False) -> str:
 
 
 class Restorer:
-    """Distinct restored words of a text, with a bounded cache of tokens."""
+    """Distinct restored words of a text, each mapped by ``value``; what a token gives is kept in a bounded cache.
+
+    ``value`` gives a word's entry or None for words of no interest, so that most tokens cost one lookup.
+    """
 
     CACHED = 300_000
 
-    def __init__(self, model: np.ndarray):
-        self.model, self.cache = model.tolist(), {}
-
-    def token(self, raw: str) -> tuple[str, ...]:
-        got = self.cache.get(raw)
-        if got is None:
-            plain = raw.strip(EDGE)
-            got = (plain,) if plain else ()
-            if plain and disguised(plain):
-                got = tuple(dict.fromkeys([plain, *decode(plain, self.model).split()]))
-            if len(raw) <= 40:
-                if len(self.cache) >= self.CACHED:
-                    self.cache.clear()
-                self.cache[raw] = got
-        return got
-
-    def words(self, text: str | None) -> set[str]:
+    def __init__(self, model: np.ndarray, value=lambda word: True):
+        self.model, self.value, self.cache = model.tolist(), value, {}
+
+    def valued(self, words) -> dict:
+        return {w: v for w in words for v in [self.value(w)] if v is not None}
+
+    def read(self, raw: str) -> dict:
+        plain = raw.strip(EDGE)
+        if plain and disguised(plain):
+            return self.valued([plain, *decode(plain, self.model).split()])
+        return self.valued([plain]) if plain else {}
+
+    def words(self, text: str | None) -> dict:
         if not text:
-            return set()
-        low, out = text.lower(), set()
+            return {}
+        low, out, cache = text.lower(), {}, self.cache
+        if len(cache) > self.CACHED:
+            cache.clear()
         for raw in set(low.split()):
-            out.update(self.token(raw))
+            got = cache.get(raw)
+            if got is None:
+                got = self.read(raw)
+                if len(raw) <= 40:
+                    cache[raw] = got or _NOTHING
+            if got:
+                out.update(got)
         for m in SPACED.finditer(low):
-            out.update(decode(m.group(), self.model, spaced=True).split())
+            out.update(self.valued(decode(m.group(), self.model, spaced=True).split()))
         return out
 
 
+#: One object for all tokens of no interest.
+_NOTHING: dict = {}
+
+
 def chance(x: float) -> float:
     return 1 / (1 + math.exp(-max(-700.0, min(700.0, x))))

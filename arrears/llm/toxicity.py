@@ -13,7 +13,6 @@ of both kinds every score is 0.
 
 from __future__ import annotations
 
-from collections import Counter
 from itertools import chain
 
 import numpy as np
@@ -89,14 +88,21 @@ def word_weights(train: DataFrame, model) -> dict[str, float]:
     return {r.f: r.w for r in top.select("f", "w").collect()}
 
 
-def evidence(words: set[str], weights: dict[str, float]) -> list[float]:
+def weight_of(weights: dict[str, float]):
+    """A word's largest weight, or None without any; most words are told by their first letters alone."""
+    starts = {f[:BEGINNINGS[0]] for f in weights}
+
+    def weight(word: str) -> float | None:
+        if word[:BEGINNINGS[0]] not in starts:
+            return None
+        return max((weights[f] for f in features(word) if f in weights), default=None)
+
+    return weight
+
+
+def evidence(found: dict[str, float]) -> list[float]:
     """Strongest weights of a text: the largest, the second, and the square root of the sum."""
-    found: Counter = Counter()
-    for w in words:
-        best = max((weights[f] for f in features(w) if f in weights), default=0.0)
-        if best:
-            found[w] = best
-    top = [v for _, v in found.most_common()]
+    top = sorted(found.values(), reverse=True)
     return [top[0] if top else 0.0, top[1] if len(top) > 1 else 0.0, sum(top) ** 0.5]
 
 
@@ -110,8 +116,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
     weights = context.broadcast(word_weights(train, model))
 
     def factory():
-        restorer = channel.Restorer(model.value)
-        return lambda texts: [(evidence(restorer.words(t), weights.value),) for t in texts]
+        restorer = channel.Restorer(model.value, weight_of(weights.value))
+        return lambda texts: [(evidence(restorer.words(t)),) for t in texts]
 
     if weights.value:
         fitted = LogisticRegression(featuresCol="x", labelCol="y", regParam=0.001).fit(common.written(
@@ -122,10 +128,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
         slopes, offset = [0.0] * 3, -1e9
 
     def scorer():
-        restore, table = channel.Restorer(model.value), weights.value
+        restorer = channel.Restorer(model.value, weight_of(weights.value))
 
         def work(texts: list) -> list[tuple]:
-            scores = [channel.chance(offset + float(np.dot(slopes, evidence(restore.words(t), table)))) for t in texts]
+            scores = [channel.chance(offset + float(np.dot(slopes, evidence(restorer.words(t))))) for t in texts]
             return [(s, int(s >= 0.5)) for s in scores]
 
         return work

@@ -63,6 +63,17 @@ def test_token_counts(docs, empty, library):
     assert token_counts.token_counts(empty).count() == 0
 
 
+def test_encoder_gives_the_ids_of_the_library(library):
+    path, rng = tokens.vocabulary(), np.random.default_rng(7)
+    assert tokens.by_rank(path)
+    encoder, units = tokens.Encoder(path, True), tokens.Units(path, True)
+    signs = list("ab'stlredvm ''  \n\n.,!?0129éñßÿŁʻ½²ª_-\x00\x7f\t\xa0漢") + ["<|endoftext|>"]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 25))) for _ in range(4000)]
+    for t in [*texts, "a" * 5000, " " * 3000 + "x", "\n" * 1500, *(t or "" for _, t in TEXTS)]:
+        want = library.encode(t, add_special_tokens=False).ids
+        assert encoder.ids(t) == want and units.count(t) == len(want)
+
+
 def test_packing(docs, empty, library):
     rows = packing.pack(docs, size=64).collect()
     ids = {i: np.array(library.encode(t or "", add_special_tokens=False).ids + [1], "<u4") for i, t in TEXTS}
@@ -248,7 +259,8 @@ def test_restoring():
     for disguised, word in [("1d10t", "idiot"), ("w0rthl3ss", "worthless"), ("l.o.s.e.r", "loser"), ("tr4$h", "trash"),
                             ("m o r o n", "moron"), ("paaathetic!", "pathetic")]:
         assert word in restorer.words(f"so {disguised} now")
-    assert restorer.words(None) == set()
+    assert not restorer.words(None)
+    assert channel.Restorer(model, {"idiot": 2.0}.get).words("so 1d10t now") == {"idiot": 2.0}
 
 
 def test_neighbours(spark):
