@@ -60,12 +60,11 @@ def character_model(docs: DataFrame, text: str = "text") -> np.ndarray:
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, label: str, sample: int) -> DataFrame:
     """At most ``sample`` labelled rows outside the held-out fold, written once so that every step sees the same."""
     marked = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")).where("y in (0, 1)").distinct()
-    joined = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t")).where(~held_out("id")).join(marked, "id")
-    # Ids are chosen before texts move: the order of the hash only needs the id.
-    order = F.xxhash64(F.col("id"))
-    chosen = marked.where(~held_out("id")).orderBy(order, "id", "y").limit(sample)
-    return common.written(
-        joined.join(chosen, ["id", "y"], "left_semi").dropDuplicates(["id", "y"]).select("y", "t"), "toxicity-train")
+    # Ids are chosen before texts are read: the order of the hash only needs the id. At most ``sample`` short rows are
+    # broadcast, so texts of other documents are never moved.
+    chosen = marked.where(~held_out("id")).orderBy(F.xxhash64(F.col("id")), "id", "y").limit(sample)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t")).join(F.broadcast(chosen), "id")
+    return common.written(rows.dropDuplicates(["id", "y"]).select("y", "t"), "toxicity-train")
 
 
 def word_weights(train: DataFrame, model) -> dict[str, float]:
