@@ -110,8 +110,9 @@ def reason_table(declines: DataFrame, k: int = TOP_REASONS) -> DataFrame:
     """The stored form: one row per declined loan."""
     reasons = [f"reason_{i}_{part}" for i in range(1, k + 1) for part in ("code", "text", "logodds")]
     term = [c for c in ("term_logodds", "term_note", "p_default_36m", "qualifies_at_36m") if c in declines.columns]
+    known = [c for c in ("issue_date", "term_months") if c in declines.columns]  # an applicant has no issue date yet
     return declines.select(
-        "loan_id", "issue_date", "term_months", F.bround("p_default", 4).alias("p_default"), "n_reasons", *reasons, *term)
+        "loan_id", *known, F.bround("p_default", 4).alias("p_default"), "n_reasons", *reasons, *term)
 
 
 def direction_check(explained: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -142,10 +143,14 @@ def reason_summary(
         "pd_cutoff": F.bround(F.max("cutoff"), 4),
         "declined": F.count_if(declined).cast("double"),
         "decline_rate": F.bround(F.avg(declined.cast("double")), 4),
-        "declined_default_rate": F.bround(F.avg(F.when(declined, F.col("label"))), 4),
         "additivity_max_error": F.max(F.abs(total + F.col("bias") - F.col("margin"))),
-        "share_all_on_longer_term": F.bround(F.avg((F.col("term_months") > SHORT_TERM).cast("double")), 4),
     }
+    longer = F.bround(F.avg((F.col("term_months") > SHORT_TERM).cast("double")), 4)
+    # Applicants have no outcome, and may come without a term.
+    if "label" in explained.columns:
+        overall["declined_default_rate"] = F.bround(F.avg(F.when(declined, F.col("label"))), 4)
+    if "term_months" in explained.columns:
+        overall["share_all_on_longer_term"] = longer
     groups = _groups(declines)
     every = sum([F.abs(f"grp_{g}") for g in groups[1:]], F.abs(f"grp_{groups[0]}"))
     hidden = [F.abs(f"grp_{g}") for g in groups if g in NON_REPORTABLE_GROUPS]
@@ -154,8 +159,9 @@ def reason_summary(
         "share_declined_with_no_reportable_reason": F.bround(F.avg((F.col("n_reasons") == 0).cast("double")), 4),
         "mean_reasons_per_decline": F.bround(F.avg("n_reasons"), 2),
         "nonreportable_share_of_explanation": F.bround(hidden_share, 4),
-        "share_declined_on_longer_term": F.bround(F.avg((F.col("term_months") > SHORT_TERM).cast("double")), 4),
     }
+    if "term_months" in declines.columns:
+        among["share_declined_on_longer_term"] = longer
     if separate_term:
         among["share_declined_with_term_note"] = F.bround(F.avg(F.col("term_noted").cast("double")), 4)
         among["share_declined_qualifying_at_36m"] = F.bround(F.avg(F.col("qualifies_at_36m").cast("double")), 4)
