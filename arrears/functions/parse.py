@@ -6,15 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Decimal notation with an exponent of at most 299. Keeps out NaN, infinities and Java literals such as ``1.5d``, which
-# a plain cast would accept. One small expression per column keeps the generated code of a wide projection below the
-# size up to which the JVM compiles a method.
-_DECIMAL = r"^\s*[+-]?[\d.]+([eE][+-]?[0-2]?\d{1,2})?\s*$"
+# Decimal notation. Keeps out the names of NaN and infinity and Java literals such as ``1.5d``, which a plain cast would
+# accept. One small expression per column keeps the generated code of a wide projection below the size up to which the
+# JVM compiles a method.
+_DECIMAL = r"^\s*[+-]?[\d.]+([eE][+-]?\d+)?\s*$"
 
 
 def number(text: Column) -> Column:
-    """Text to double."""
-    return F.when(text.rlike(_DECIMAL), text.try_cast("double"))
+    """Text to double; what exceeds the range of a double is NULL."""
+    value = text.try_cast("double")
+    return F.when(text.rlike(_DECIMAL) & (F.abs(value) < F.lit(float("inf"))), value)
 
 
 def first_integer(text: Column) -> Column:
