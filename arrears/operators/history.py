@@ -12,13 +12,16 @@ def latest_run(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of the newest run per key set. All rows of a run share one ``ts``.
 
     The newest timestamps are one row per key set. They are written first, so the join below broadcasts them at their
-    true size, and a table partitioned by ``run_date`` opens only the days that hold a newest run.
+    true size. Their days, at most one per key set, are a literal filter, so that a table partitioned by ``run_date``
+    opens only the days that hold a newest run.
     """
     newest = df.groupBy(*keys).agg(F.max("ts").alias("ts"))
-    if "run_date" in df.columns:
-        newest = newest.withColumn("run_date", F.to_date("ts"))
-    newest = settle(newest, "newest-runs")
-    return df.join(newest.where(F.col("ts") > F.lit("0001-01-02").cast("timestamp")), newest.columns).select(*df.columns)
+    if "run_date" not in df.columns:
+        newest = settle(newest, "newest-runs")
+        return df.join(newest, newest.columns).select(*df.columns)
+    newest = settle(newest.withColumn("run_date", F.to_date("ts")), "newest-runs")
+    days = [r.run_date for r in newest.where("run_date IS NOT NULL").select("run_date").distinct().collect()]
+    return df.where(F.col("run_date").isin(days)).join(newest, newest.columns).select(*df.columns)
 
 
 def newest_model(df: DataFrame) -> Column:
