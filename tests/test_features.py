@@ -77,3 +77,12 @@ def test_reconcile(spark):
     got = {r.measure: r.loans for r in features.reconcile(left, right, "k", ["v", "w"]).collect()}
     assert got == {"rows_left": 3, "rows_right": 4, "only_left": 1, "only_right": 1, "repeated_keys": 1,
                    "mismatch_v": 1, "mismatch_w": 0}
+
+
+def test_numbers_reach_the_range_of_a_double(spark):
+    from arrears.functions.parse import number
+
+    texts = ["1e305", " -1.5E300 ", "1e999", "-1e400", "NaN", "Infinity", "1.5d", "", None, "7"]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = [r.v for r in rows.select("k", number(rows.t).alias("v")).orderBy("k").collect()]
+    assert got == [1e305, -1.5e300, None, None, None, None, None, None, None, 7.0]
