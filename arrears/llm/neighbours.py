@@ -4,7 +4,9 @@ Vectors are projected to ``dims`` dimensions by Gaussian (2-stable) directions:
 pair, divided by its squared distance, follows a chi-square law. Rows are dealt by hash into blocks, each block holds
 a kd-tree over its projections, and a query visits leaves in the order of projected distance, verifies the vectors
 there in double precision, and stops when the chi-square test says that a point not yet visited beats the k-th best
-found with a chance below ``1 - sure``.
+found with a chance below ``1 - sure``. Equal vectors of a block are one point of its tree, with all their ids, and the
+test allows for the rounding of the projections, so that copies at one distance are found together and the smallest
+ids among them are kept.
 
 Queries are sent in blocks of at most ``query_block`` rows, so a broadcast is bounded; every block of rows is read
 once per block of queries, and each pair of blocks gives k rows per query. Vectors that are null, zero, or hold nulls
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -79,16 +82,35 @@ class KdTree:
                     heapq.heappush(heap, (gap(child), child))
 
 
-def search(ids: np.ndarray, vectors: np.ndarray, tree: KdTree, own: int, q: np.ndarray, projected: np.ndarray,
-           k: int, limit: float) -> list[tuple[float, int]]:
+def distinct_points(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
+    """The distinct vectors, and for each the ids of its rows in ascending order."""
+    _, first, point = np.unique(vectors + 0.0, axis=0, return_index=True, return_inverse=True)
+    point = point.reshape(-1)
+    order = np.lexsort((ids, point))
+    members = np.split(ids[order], np.flatnonzero(np.diff(point[order])) + 1)
+    return vectors[first], [m.tolist() for m in members]
+
+
+def rounding(q: np.ndarray, dims: int) -> float:
+    """Most by which rounding moves the squared projected distance of two equal vectors."""
+    return 4 * dims * len(q) ** 3 * float(np.finfo(float).eps) ** 2 * float(q @ q)
+
+
+def search(members: list[list[int]], vectors: np.ndarray, tree: KdTree, own: int, q: np.ndarray,
+           projected: np.ndarray, k: int, limit: float) -> list[tuple[float, int]]:
     """The k nearest found, as (distance, id). ``limit`` is the chi-square quantile of the stopping test."""
     best: list[tuple[float, int]] = []
-    for gap, rows in tree.visit(projected):
-        if len(best) == k and gap > limit * best[-1][0] ** 2:
+    slack = rounding(q, len(projected))
+    for gap, points in tree.visit(projected):
+        if len(best) == k and gap > limit * best[-1][0] ** 2 + slack:
             break
-        rows = rows[ids[rows] != own]
-        d = np.sqrt(((vectors[rows] - q) ** 2).sum(1))
-        best = sorted([*best, *zip(d.tolist(), ids[rows].tolist(), strict=True)])[:k]
+        d = np.sqrt(((vectors[points] - q) ** 2).sum(1))
+        if len(best) == k:
+            near = d <= best[-1][0]
+            points, d = points[near], d[near]
+        for p, distance in zip(points.tolist(), d.tolist(), strict=True):
+            best += [(distance, i) for i in islice((i for i in members[p] if i != own), k)]
+        best = sorted(best)[:k]
     return best
 
 
@@ -103,12 +125,12 @@ def block_search(sent, k: int, dims: int, limit: float):
     """The search of one block of rows for all queries that were sent."""
 
     def search_block(frame: pd.DataFrame) -> pd.DataFrame:
-        ids, vectors = frame["vec_id"].to_numpy(), np.stack(frame["v"].to_list())
+        vectors, members = distinct_points(frame["vec_id"].to_numpy(), np.stack(frame["v"].to_list()))
         directions = np.random.default_rng(SEED).standard_normal((vectors.shape[1], dims))
         tree, out = KdTree(vectors @ directions), []
         for own, q in sent.value:
             if len(q) == vectors.shape[1]:
-                found = search(ids, vectors, tree, own, q, q @ directions, k, limit)
+                found = search(members, vectors, tree, own, q, q @ directions, k, limit)
                 out += [(own, i, d) for d, i in found]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 

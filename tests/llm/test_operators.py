@@ -283,6 +283,23 @@ def test_neighbours(spark):
     assert neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_neighbours_among_copies(spark):
+    rng = np.random.default_rng(6)
+    vectors = rng.standard_normal((2000, 64))
+    for low, high in ((100, 140), (300, 400), (500, 1500)):
+        vectors[low:high] = vectors[low]
+    ids = rng.permutation(len(vectors))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors, strict=True)],
+                               "vec_id long, embedding array<double>")
+    asked = [int(ids[k]) for k in (100, 120, 139, 300, 350, 399, 500, 900, 1499)]
+    for block_rows in (4096, 600):
+        got = neighbours.nearest(df, df.where(F.col("vec_id").isin(asked)), block_rows=block_rows).collect()
+        for q in asked:
+            d = ((vectors - vectors[ids == q][0]) ** 2).sum(1)
+            want = [i for _, i in sorted(zip(d.tolist(), ids.tolist(), strict=True)) if i != q][:10]
+            assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == want
+
+
 def test_licenses(docs, empty):
     rows = {r.doc_id: r for r in licenses.license_scan(docs).collect()}
     assert (rows[10].n_base, rows[10].first_word, rows[10].last_word) == (2, 3, 8)
