@@ -8,7 +8,10 @@ with a smaller id. Four steps, each written:
 2. Segments. The windows around a confirmed anchor form a segment; equal segments under one anchor are one row with
    the least id, so a passage that a third of all documents share is one row after the map side.
 3. Automata. Segments are sharded by anchor. Each shard compiles the windows of its distinct segments into an
-   automaton over word numbers that knows the least id of each window, and streams its segments through it.
+   automaton over word numbers that knows the least id of each window, and streams its segments through it. Anchors
+   with more distinct segments than a shard may hold are split: the least id of each of their windows comes from a
+   pre-aggregated count, windows are sharded by their hash, and a shard's automaton is built once for every
+   ``shard_segments`` segments that hold one of its windows. No frame grows with an anchor or with a window.
 4. Every occurrence of a segment, in all documents, takes the least ids found and removes the words of windows that
    belong to a smaller id.
 
@@ -32,7 +35,7 @@ from arrears.llm.automaton import merge
 
 WORDS = re.compile(r"[^ \t-\r]+")
 WINDOW, ANCHOR = 13, 5
-#: Distinct segments in one automaton, on average; about 20 MB.
+#: Distinct segments in one automaton, on average, and most under one anchor that is not split; about 20 MB.
 SHARD_SEGMENTS = 4000
 LAST = (1 << 63) - 1
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -73,6 +76,14 @@ def anchors(hashes: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, in
     return list(zip(mixed[place[first]].view(np.int64).tolist(), first.tolist(), last.tolist(), strict=True))
 
 
+def compiled(least: dict[tuple[int, ...], int]) -> ahocorasick.Automaton:
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for key, owner in least.items():
+        automaton.add_word(key, owner)
+    automaton.make_automaton()
+    return automaton
+
+
 def scan_shard(frame: pd.DataFrame, window: int) -> pd.DataFrame:
     """Least ids of the windows of each segment of a shard, by one automaton over the shard's windows."""
     number: dict[str, int] = {}
@@ -82,14 +93,23 @@ def scan_shard(frame: pd.DataFrame, window: int) -> pd.DataFrame:
         for k in range(len(row) - window + 1):
             key = row[k:k + window]
             least[key] = min(least.get(key, LAST), int(owner))
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for key, owner in least.items():
-        automaton.add_word(key, owner)
-    automaton.make_automaton()
+    automaton = compiled(least)
     found = [[owner for _, owner in automaton.iter(row)] for row in rows]
     return pd.DataFrame({"anchor": frame["anchor"], "segment_key": frame["segment_key"], "owners": found})
 
 
+def scan_split_shard(frame: pd.DataFrame, owned: pd.DataFrame, window: int) -> pd.DataFrame:
+    """The windows of one shard, with their least ids, in each segment of ``frame``; the others are found elsewhere."""
+    number: dict[str, int] = {}
+    automaton = compiled({
+        tuple(number.setdefault(w, len(number) + 1) for w in words.split(" ")): int(owner)
+        for words, owner in zip(owned["words"], owned["least"], strict=True)})
+    out = [(a, key, end - window + 1, owner)
+           for a, key, s in zip(frame["anchor"], frame["segment_key"], frame["segment"], strict=True)
+           for end, owner in automaton.iter(tuple(number.get(w, 0) for w in s.split(" ")))]
+    return pd.DataFrame(out, columns=["anchor", "segment_key", "at", "owner"])
+
+
 def shard_scan(window: int):
     def scan(frame: pd.DataFrame) -> pd.DataFrame:
         return scan_shard(frame, window)
@@ -97,6 +117,39 @@ def shard_scan(window: int):
     return scan
 
 
+def split_shard_scan(window: int):
+    def scan(frame: pd.DataFrame, owned: pd.DataFrame) -> pd.DataFrame:
+        return scan_split_shard(frame, owned, window)
+
+    return scan
+
+
+def split_owners(segments: DataFrame, window: int, shard_segments: int) -> DataFrame:
+    """anchor, segment_key, owners of segments whose anchors are too frequent for one shard."""
+    words = F.split("segment", " ")
+    windows = F.transform(F.sequence(F.lit(1), F.size(words) - (window - 1)),
+                          lambda k: F.array_join(F.slice(words, k, window), " "))
+    least = common.written(segments.select("least", F.explode(windows).alias("words")).groupBy("words").agg(
+        F.min("least").alias("least")), "passages-windows")
+    shards = max(1, -(-least.count() // shard_segments))
+
+    def shard_of(w):
+        return F.pmod(F.xxhash64(w), F.lit(shards))
+
+    asked = common.written(segments.select(
+        "anchor", "segment_key", "segment",
+        F.explode(F.array_distinct(F.transform(windows, shard_of))).alias("shard")), "passages-asked")
+    parts = common.written(asked.groupBy("shard").agg(
+        F.ceil(F.count("*") / shard_segments).alias("parts")), "passages-parts")
+    asked = asked.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("segment_key"), F.col("parts"))).drop("parts")
+    owned = least.withColumn("shard", shard_of(F.col("words"))).join(parts, "shard").withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    found = asked.groupBy("shard", "part").cogroup(owned.groupBy("shard", "part")).applyInPandas(
+        split_shard_scan(window), "anchor long, segment_key long, at long, owner long")
+    return found.groupBy("anchor", "segment_key").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "owner"))), lambda x: x["owner"]).alias("owners"))
+
+
 def repeated_spans(rows: DataFrame, window: int = WINDOW, shard_segments: int = SHARD_SEGMENTS) -> DataFrame:
     """rid, spans (words to remove, merged) from rows (rid, id, text); rows without any are left out."""
 
@@ -138,10 +191,17 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, shard_segments: int =
         run, "anchor long, segment_key long, segment string, rid long, id long, first long"), "passages-places")
     segments = common.written(places.groupBy("anchor", "segment_key").agg(
         F.first("segment").alias("segment"), F.min("id").alias("least")), "passages-segments")
+    frequent = common.written(segments.groupBy("anchor").count().where(F.col("count") > shard_segments).select(
+        "anchor"), "passages-frequent")
+    split = frequent.count() > 0
+    rest = segments.join(frequent, "anchor", "left_anti") if split else segments
     shards = max(1, -(-segments.count() // shard_segments))
-    owners = common.written(segments.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy(
+    owners = common.written(rest.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy(
         "shard").applyInPandas(shard_scan(window), "anchor long, segment_key long, owners array<long>"),
         "passages-owners")
+    if split:
+        owners = owners.union(common.written(split_owners(
+            segments.join(frequent, "anchor", "left_semi"), window, shard_segments), "passages-split-owners"))
     starts = F.filter(F.transform("owners", lambda o, k: F.when(o < F.col("id"), F.col("first") + k)),
                       lambda x: x.isNotNull())
     hit = places.drop("segment").join(owners, ["anchor", "segment_key"]).select("rid", starts.alias("starts")).where(

@@ -123,6 +123,44 @@ def test_repeated_passages(docs, empty):
     assert passages.remove_repeats(empty).count() == 0
 
 
+def test_passages_around_one_frequent_anchor(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    hashes, pool = passages.WordHashes(), [f"w{k}" for k in range(200)]
+    phrases = [rng.choice(pool, 5).tolist() for _ in range(4000)]
+    phrase = min(phrases, key=lambda p: passages.anchors(hashes.of(p), 5)[0][0] & (2 ** 64 - 1))
+    texts = [(k, " ".join([*rng.choice(pool[:3], 6), f"l{k % 2}", "left", *phrase, "right", f"r{k % 3}",
+                           *rng.choice(pool[:3], 6)])) for k in rng.permutation(400).tolist()]
+    texts += [(None, texts[0][1]), (500, f"other start {texts[1][1]}")]
+    least = {}
+    rows = [(passages.LAST if i is None else i, t.split()) for i, t in texts]
+    for i, w in rows:
+        for k in range(len(w) - 12):
+            least[tuple(w[k:k + 13])] = min(i, least.get(tuple(w[k:k + 13]), i))
+    want = []
+    for (own, _), (i, w) in zip(texts, rows, strict=True):
+        gone = {x for k in range(len(w) - 12) if least[tuple(w[k:k + 13])] < i for x in range(k, k + 13)}
+        want.append((own, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+    scan, whole = passages.scan_shard, getattr(passages, "scan_split_shard", None)
+
+    def bounded(window):
+        def run(frame):
+            assert len(frame) <= 150
+            return scan(frame, window)
+        return run
+
+    def bounded_split(window):
+        def run(frame, owned):
+            assert len(frame) <= 150 and len(owned) <= 150
+            return whole(frame, owned, window)
+        return run
+
+    monkeypatch.setattr(passages, "shard_scan", bounded)
+    monkeypatch.setattr(passages, "split_shard_scan", bounded_split, raising=False)
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in passages.remove_repeats(df, shard_segments=50).collect()]
+    assert counted(got) == counted(want) and sum(r[2] > 0 for r in got) > 100
+
+
 def test_simhash(spark, empty):
     base = "".join(f"w{k} " for k in range(200))
     texts = [*TEXTS, *((20 + k, base.replace(f"w{k * 7} ", "new ")) for k in range(12)), (40, "a b"), (41, "A  B")]
