@@ -1,12 +1,17 @@
 """Operator 9: license scans by an exact set-similarity join.
 
-The left side are a few license templates (a parameter), the right side every block (line) of every document. A block
-meets a template if it holds at least ``threshold`` of the template's distinct words. Template words are ordered by
-their frequency over all documents, rarest first. A block that meets a template of n words must share at least
-``need = ceil(threshold * n)`` of them, hence one of the first ``n - need + 1`` (prefix filter), have ``need`` distinct
-words itself (length filter), and at the place of the first shared word still have enough template words left
-(positional filter). What passes is verified exactly. Documents are not shuffled; templates are broadcast, and their
-number and length are checked.
+The left side are a few license templates (a parameter), the right side the overlapping blocks of every document: all
+runs of as many consecutive words as the template has, divided by ``threshold``, over the whole text, so that line
+breaks neither hide nor widen a block. A block meets a template if it holds at least ``threshold`` of the template's
+distinct words. Template words are ordered by their frequency over all documents, rarest first. A block that meets a
+template of n words must share at least ``need = ceil(threshold * n)`` of them, hence one of the first ``n - need + 1``
+(prefix filter), have ``need`` distinct words itself (length filter), and at the place of the first shared word still
+have enough template words left (positional filter). What passes is verified exactly. Documents are not shuffled;
+templates are broadcast, and their number and length are checked.
+
+Templates of two labels that differ in so few words that the text of one meets the other are rivals. Where blocks of
+both overlap, the one that holds the larger share of its template is kept, or that with more words; if a text has no
+word that decides between them, both are.
 
 Base labels are places where a phrase's words stand one after the other. Null texts have no words; repeated documents
 and null ids give a row each.
@@ -15,7 +20,7 @@ and null ids give a row each.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, deque
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +41,7 @@ TEMPLATES = {
     "cc-by-nc": ["This content is available under CC BY-NC 4.0"],
     "cc-by": ["This work is licensed under a Creative Commons Attribution 4.0 International License"],
     "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted"],
-    "all-rights-reserved": ["Copyright, all rights reserved"],
+    "all-rights-reserved": ["Copyright, all rights reserved", "All rights reserved"],
 }
 THRESHOLD = 0.8
 #: Most template words that may be broadcast.
@@ -48,15 +53,15 @@ def words_of(text: str | None) -> list[str]:
 
 
 def template_frequencies(docs: DataFrame, vocabulary: frozenset, text: str = "text") -> dict[str, int]:
-    """In how many blocks of all documents each template word stands."""
+    """In how many lines of all documents each template word stands."""
 
     def factory():
         seen: Counter = Counter()
 
         def add(texts: list) -> None:
             for t in texts:
-                for block in (t or "").split("\n"):
-                    seen.update(vocabulary.intersection(words_of(block)))
+                for line in (t or "").split("\n"):
+                    seen.update(vocabulary.intersection(words_of(line)))
 
         return add, lambda: list(seen.items())
 
@@ -68,33 +73,104 @@ class TemplateJoin:
     """The templates' side of the join: sorted words, and an index of their prefixes."""
 
     def __init__(self, templates: dict[str, list[str]], frequency: dict[str, int], threshold: float):
-        self.sets, self.prefix = [], {}
+        self.sets, self.prefix, self.width = [], {}, []
         for label, texts in templates.items():
             for t in texts:
-                ordered = sorted(set(words_of(t)), key=lambda w: (frequency.get(w, 0), w))
+                listed = words_of(t)
+                ordered = sorted(set(listed), key=lambda w: (frequency.get(w, 0), w))
                 if not ordered:
                     continue
                 need = ceil(threshold * len(ordered) - 1e-9)
                 for place, w in enumerate(ordered[:len(ordered) - need + 1]):
                     self.prefix.setdefault(w, []).append((len(self.sets), place))
                 self.sets.append((label, frozenset(ordered), need))
+                self.width.append(max(len(listed), ceil(len(listed) / threshold - 1e-9)))
         self.rare = frozenset(self.prefix)
+        self.rivals = [[a for a, (other, theirs, _) in enumerate(self.sets)
+                        if other != label and len(theirs & mine) >= need] for label, mine, need in self.sets]
 
-    def best(self, block: set[str]) -> dict[str, float]:
-        """Labels of the templates that the block meets, with the share of the template it holds."""
-        out: dict[str, float] = {}
+    def held(self, block: set[str]) -> list[tuple[int, int]]:
+        """The templates that the block meets, with the number of their words that it holds."""
+        out = []
         first: dict[int, int] = {}
         for w in self.rare & block:
             for k, place in self.prefix[w]:
                 first[k] = min(first.get(k, place), place)
         for k, place in first.items():
-            label, words, need = self.sets[k]
+            _, words, need = self.sets[k]
             if len(block) >= need and len(words) - place >= need:
                 shared = len(words & block)
                 if shared >= need:
-                    out[label] = max(out.get(label, 0.0), shared / len(words))
+                    out.append((k, shared))
+        return out
+
+    def best(self, block: set[str]) -> dict[str, float]:
+        """Labels of the templates that the block meets, with the share of the template it holds."""
+        out: dict[str, float] = {}
+        for k, shared in self.held(block):
+            label, words, _ = self.sets[k]
+            out[label] = max(out.get(label, 0.0), shared / len(words))
         return out
 
+    def blocks(self, k: int, words: list[str], low: int, high: int) -> list[list[int]]:
+        """[start, end, most template words in one block] of the overlapping blocks that meet template k."""
+        _, wanted, need = self.sets[k]
+        out: list[list[int]] = []
+        inside: deque = deque()
+        count: Counter = Counter()
+        distinct = 0
+        for at in range(low, high):
+            if words[at] not in wanted:
+                continue
+            inside.append(at)
+            count[words[at]] += 1
+            distinct += count[words[at]] == 1
+            while inside[0] <= at - self.width[k]:
+                gone = words[inside.popleft()]
+                count[gone] -= 1
+                distinct -= count[gone] == 0
+            if distinct >= need:
+                if out and inside[0] < out[-1][1]:
+                    out[-1][1:] = [at + 1, max(out[-1][2], distinct)]
+                else:
+                    out.append([inside[0], at + 1, distinct])
+        return out
+
+    def scan(self, words: list[str]) -> dict[str, float]:
+        """Labels of the templates that some block of a text meets, without those that lose to a rival there."""
+        reach, regions = max(self.width, default=0), []
+        for at in [k for k, w in enumerate(words) if w in self.rare]:
+            low, high = max(0, at - reach + 1), min(len(words), at + reach)
+            if regions and low <= regions[-1][1]:
+                regions[-1][1] = high
+            else:
+                regions.append([low, high])
+        found: dict[int, list[tuple[int, int, tuple[float, int]]]] = {}
+        for low, high in regions:
+            for k, _ in self.held(set(words[low:high])):
+                found.setdefault(k, []).extend((start, end, (shared / len(self.sets[k][1]), shared))
+                                               for start, end, shared in self.blocks(k, words, low, high))
+        out: dict[str, float] = {}
+        for k, places in found.items():
+            label = self.sets[k][0]
+            rivals = sorted(place for a in self.rivals[k] for place in found.get(a, []))
+            for (_, _, held), met in zip(places, overlapping(places, rivals), strict=True):
+                if all(other <= held for other in met):
+                    out[label] = max(out.get(label, 0.0), held[0])
+        return out
+
+
+def overlapping(places: list[tuple], others: list[tuple]) -> list[list[tuple[float, int]]]:
+    """For each place (start, end, held), in order of start, what the overlapping others hold."""
+    out, active, k = [], [], 0
+    for start, end, _ in places:
+        while k < len(others) and others[k][0] < end:
+            active.append(others[k])
+            k += 1
+        active = [o for o in active if o[1] > start]
+        out.append([o[2] for o in active])
+    return out
+
 
 def phrase_places(words: list[str], phrases: list[tuple[list[str], str]]) -> list[tuple[int, str]]:
     out = []
@@ -124,15 +200,11 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
         def one(t: str | None) -> tuple:
             met: dict[str, float] = {}
-            # A phrase may run over a line break, so its words are looked for in the text as a whole.
+            # A phrase or notice may run over a line break, so both are looked for in the text as a whole.
             words = words_of(t)
             n = len(words)
             if not join.rare.isdisjoint(words):
-                for block in t.split("\n"):
-                    found = words_of(block)
-                    if not join.rare.isdisjoint(found):
-                        for label, share in join.best(set(found)).items():
-                            met[label] = max(met.get(label, 0.0), share)
+                met = join.scan(words)
             places = phrase_places(words, listed) if n else []
             base = {label for _, label in places}
             starts = [at for at, _ in places]

@@ -354,6 +354,28 @@ def test_licenses(docs, empty):
         assert set(join.best(block)) == want
 
 
+def test_license_notices_as_they_are_written(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+    gpl = "This work is licensed under the GNU General Public License, version {}."
+    far = " filler" * 40
+    texts = ["Copyright 2020 Ann.\nAll rights reserved.", "All rights reserved.", bsd, gpl.format(3), gpl.format(2),
+             f"{gpl.format(3)}{far} {gpl.format(2)}", gpl.format(3).replace("General", "\n * General"),
+             " ".join(f"{w}{far}" for w in licenses.words_of(gpl.format(3))), "all the rights are not reserved"]
+    want = ["all-rights-reserved", "all-rights-reserved", "bsd", "gpl-3", "gpl-2", "gpl-2,gpl-3", "gpl-3", "", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.license_scan(df).collect()}
+    assert [got[k] for k in range(len(texts))] == want
+    join = licenses.TemplateJoin(licenses.TEMPLATES, {}, 0.8)
+    rng = np.random.default_rng(9)
+    pool = sorted({w for _, words, _ in join.sets for w in words})
+    for _ in range(200):
+        words = rng.choice(["x", "y", *pool], 150).tolist()
+        for k, (_, wanted, need) in enumerate(join.sets):
+            held = [len(wanted & set(words[a:a + join.width[k]])) for a in range(len(words))]
+            blocks = join.blocks(k, words, 0, len(words))
+            assert max([b[2] for b in blocks], default=0) == (max(held) if max(held) >= need else 0)
+
+
 def test_pipeline(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     folder = "/root/testdata/sf0.001"
