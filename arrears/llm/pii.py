@@ -1,10 +1,11 @@
 """Operator 1: personal data by bootstrapped contextual extraction.
 
-Base entities (email, ip, card, phone by fixed patterns) are the seeds. The words before a seed and the shape of the
-seed make a lexical pattern; the same patterns also cover identifiers that no fixed pattern knows (candidates). Spark
-scores the graph of patterns and instances for a fixed number of rounds: a pattern is trusted by the mean confidence
-of its distinct instances, weakened by a prior that counts as one wrong instance; an instance is trusted if any of
-its patterns is (noisy or). Candidates under patterns of high confidence become entities of the pattern's kind.
+Base entities (email, ip, card, phone by fixed patterns) are the seeds. The word before a seed, the shape of the seed
+and both together are its lexical patterns; the same patterns also cover identifiers that no fixed pattern knows
+(candidates). Spark scores the graph of patterns and instances, kind by kind, for a fixed number of rounds: a pattern is
+trusted by the mean confidence of its distinct instances, weakened by a prior that counts as one wrong instance; an
+instance is trusted if any of its patterns is right (noisy or), and so hands the kind on to its other patterns in the
+next round. A context or a shape alone takes part in that once it is trusted itself. Candidates under patterns of high confidence become entities of the pattern's kind.
 
 Texts are read once. Base spans and candidates are written with a row number, so that scoring never reads texts
 again; the graph's edges are counted before they are shuffled, one row per distinct (pattern, instance).
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,12 +35,14 @@ PATTERNS = {
 #: The same email, found from its "@": the part before it is a run of name characters, so no scan is repeated.
 NAME_RUN = re.compile(r"[A-Za-z0-9._%+-]+")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-#: A candidate: a token of at least six signs with a digit or "@" in it.
+#: A candidate: a token of at least six signs with a digit or "@" in it, or digits grouped by blanks, brackets and signs.
 CANDIDATE = re.compile(r"[^\s,;|<>\"'()\[\]{}]{6,}")
+GROUPED = re.compile(r"(?<![\w@.%+-])\+?\(?[0-9]++(?:[\x20()./-]{1,3}[0-9]++)++(?![^\W_])")
+MOST_DIGITS = 32
 CONTEXT_WORD = re.compile(r"[^\W\d_]+[:=#.]?|[:=#]")
 ROUNDS, TRUST, PRIOR, SEED_SHARE = 3, 0.8, 1.0, 3
 SPAN = "struct<kind: string, start: long, end: long>"
-CANDIDATES = "array<struct<pattern: string, instance: string, kind: string, start: long, end: long>>"
+CANDIDATES = "array<struct<word: string, shape: string, instance: string, kind: string, start: long, end: long>>"
 
 
 def luhn(digits: str) -> bool:
@@ -91,56 +95,85 @@ def context(text: str, start: int) -> str:
     return before[-1].lower() if before else ""
 
 
+def candidates(text: str) -> list[tuple[int, int]]:
+    out = set()
+    for m in CANDIDATE.finditer(text):
+        token = m.group().rstrip(".:!?")
+        if len(token) >= 6 and any(ch.isdigit() or ch == "@" for ch in token):
+            out.add((m.start(), m.start() + len(token)))
+    for m in GROUPED.finditer(text):
+        if 6 <= sum("0" <= ch <= "9" for ch in m.group()) <= MOST_DIGITS:
+            out.add(m.span())
+    return sorted(out)
+
+
 def occurrences(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """Seeds and candidates with their patterns; the instance is a digest, so no identifier is written."""
+    """Seeds and candidates with context and shape; the instance is a digest, so no identifier is written."""
     out = []
 
     def note(kind: str | None, a: int, b: int) -> None:
-        word = context(text, a)
-        if word:
-            token = text[a:b]
-            out.append({"pattern": f"{word} {shape(token)}", "kind": kind, "start": a, "end": b,
-                        "instance": hashlib.blake2b(token.encode(), digest_size=8).hexdigest()})
-
-    taken = sorted((a, b) for _, a, b in spans)
+        token = text[a:b]
+        out.append({"word": context(text, a), "shape": shape(token), "kind": kind, "start": a, "end": b,
+                    "instance": hashlib.blake2b(token.encode(), digest_size=8).hexdigest()})
+
+    taken: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in spans):
+        if taken and a <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
     for kind, a, b in spans:
         note(kind, a, b)
-    k, reach = 0, 0
-    for m in CANDIDATE.finditer(text):
-        token = m.group().rstrip(".:!?")
-        a, b = m.start(), m.start() + len(token)
-        if len(token) < 6 or not any(ch.isdigit() or ch == "@" for ch in token):
-            continue
-        while k < len(taken) and taken[k][0] < b:
-            reach = max(reach, taken[k][1])
-            k += 1
-        if reach <= a:
+    starts = [a for a, _ in taken]
+    for a, b in candidates(text):
+        k = bisect_left(starts, b) - 1
+        if k < 0 or taken[k][1] <= a:
             note(None, a, b)
     return out
 
 
-def trusted_patterns(edges: DataFrame, rounds: int = ROUNDS, trust: float = TRUST) -> DataFrame:
-    """pattern, kind: patterns whose confidence reaches ``trust``, from edges (pattern, instance, kind or null).
+def with_patterns(seen: DataFrame) -> DataFrame:
+    """One row per occurrence and pattern: its shape, its context, and both. Without context only the shape is one."""
+    shape = F.concat(F.lit("shape "), "shape")
+    word, both = F.concat(F.lit("word "), "word"), F.concat(F.lit("both "), "word", F.lit(" "), "shape")
+    return seen.withColumn("pattern", F.explode(F.when(F.col("word") == "", F.array(shape)).otherwise(
+        F.array(shape, word, both)))).drop("word", "shape")
+
+
+def scored_patterns(edges: DataFrame, rounds: int = ROUNDS, trust: float = TRUST) -> DataFrame:
+    """pattern, found (its kind), confidence of the patterns that reach ``trust``, from edges (pattern, instance, kind
+    or null).
 
-    Every round is written. The graph has one edge per distinct pair; confidences travel along its edges by two
-    aggregations, and no list of a node's neighbours is ever built.
+    Every round is written. The graph has one edge per distinct pair; confidences travel along its edges kind by kind
+    in two aggregations, and no list of a node's neighbours is ever built. A pattern needs the trust of ``SEED_SHARE``
+    instances in all, seeds or found in an earlier round.
     """
     edges = common.written(edges.groupBy("pattern", "instance").agg(F.max("kind").alias("kind")), "pii-edges")
-    seeds = edges.where("kind is not null").groupBy("pattern", "kind").agg(F.count("*").alias("n"))
-    kinds = seeds.groupBy("pattern").agg(
-        F.max_by("kind", F.struct("n", "kind")).alias("kind"), F.sum("n").alias("seeds"))
-    state = edges.select("pattern", "instance", F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0).alias("trust"))
-    for _ in range(rounds):
-        patterns = state.groupBy("pattern").agg(
-            (F.sum("trust") / (F.count("*") + F.lit(PRIOR))).alias("confidence"))
-        patterns = common.written(patterns, "pii-patterns")
-        doubt = edges.join(patterns, "pattern").groupBy("instance").agg(
-            F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))).alias("doubt"),
-            F.max(F.col("kind").isNotNull()).alias("seed"))
-        trusted = doubt.select("instance", F.when(F.col("seed"), 1.0).otherwise(1 - F.exp("doubt")).alias("trust"))
-        state = edges.select("pattern", "instance").join(common.written(trusted, "pii-instances"), "instance")
-    return patterns.where(F.col("confidence") >= trust).join(
-        kinds.where(F.col("seeds") >= SEED_SHARE), "pattern").select("pattern", F.col("kind").alias("found"))
+    sizes = common.written(edges.groupBy("pattern").agg(F.count("*").alias("n")), "pii-sizes")
+    seeds = common.written(edges.where("kind is not null").groupBy("instance").agg(F.max("kind").alias("kind")).select(
+        "instance", "kind", F.lit(1.0).alias("trust")), "pii-seeds")
+    edges = edges.select("pattern", "instance")
+    state = seeds
+    for k in range(rounds):
+        scored = common.written(edges.join(state, "instance").groupBy("pattern", "kind").agg(
+            F.sum("trust").alias("total")).join(sizes, "pattern").select(
+            "pattern", "kind", (F.col("total") / (F.col("n") + F.lit(PRIOR))).alias("confidence"),
+            (F.col("total") >= SEED_SHARE * (1.0 if k == 0 else trust)).alias("shared")), "pii-patterns")
+        patterns = scored.where(F.col("shared") & (F.col("confidence") >= trust)).drop("shared")
+        if k + 1 < rounds:
+            handing = scored.where(F.col("pattern").startswith("both ") | F.col("shared") & (
+                F.col("confidence") >= trust))
+            found = edges.join(handing, "pattern").groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(
+                F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))).alias("trust"))
+            state = common.written(seeds.union(found.join(seeds, "instance", "left_anti").select(
+                "instance", "kind", "trust")), "pii-instances")
+    return patterns.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", "kind")).alias("found"),
+                                           F.max("confidence").alias("confidence"))
+
+
+def trusted_patterns(edges: DataFrame, rounds: int = ROUNDS, trust: float = TRUST) -> DataFrame:
+    """pattern, found (its kind): patterns whose confidence reaches ``trust``."""
+    return scored_patterns(edges, rounds, trust).select("pattern", "found")
 
 
 def extract(docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -161,9 +194,11 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep: l
     rows = common.written(common.map_rows(
         docs, text, keep, f"base array<{SPAN}>, seen {CANDIDATES}", factory, number=True), "pii-rows")
     seen = rows.select("rid", F.explode("seen").alias("s")).select("rid", "s.*")
-    patterns = common.written(trusted_patterns(seen.select("pattern", "instance", "kind")), "pii-trusted")
-    added = seen.where("kind is null").join(patterns, "pattern").groupBy("rid").agg(F.array_sort(F.collect_list(
-        F.struct(F.col("found").alias("kind"), "start", "end"))).alias("added"))
+    patterns = common.written(scored_patterns(with_patterns(seen).select("pattern", "instance", "kind")), "pii-trusted")
+    met = with_patterns(seen.where("kind is null").select("rid", "start", "end", "word", "shape")).join(
+        patterns, "pattern").groupBy("rid", "start", "end").agg(
+        F.max_by("found", F.struct("confidence", "found")).alias("kind"))
+    added = met.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("added"))
     return rows.drop("seen", "part").join(added, "rid", "left").withColumn(
         "added", F.coalesce("added", F.expr(f"cast(array() as array<{SPAN}>)")))
 

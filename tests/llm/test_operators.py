@@ -274,6 +274,22 @@ def test_pii_patterns_find_identifiers_of_their_own(spark):
     assert [tuple(r) for r in pii.trusted_patterns(edges).collect()] == [("mail a@a", "email")]
 
 
+def test_pii_second_generation(spark):
+    texts = [f"mail: u{k}@host{k}.example" for k in range(400)]
+    texts += [f"mail: AB-{1000 + k} or" for k in range(30)] + [f"handle: AB-{1000 + k} or" for k in range(30)]
+    texts += ["handle: QX99/7777#z or", "price: 1000/7777#z or", "call: (555) 010-9999 or 4111 1111 1111 1112 now"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.added] for r in pii.extract(df).collect()}
+    assert found[400] == ["AB-1000"] and found[430] == ["AB-1000"]
+    assert found[460] == ["QX99/7777#z"] and found[461] == [] and found[462] == []
+    assert [texts[462][a:b] for a, b in pii.candidates(texts[462])] == [
+        "(555) 010-9999", "010-9999", "4111 1111 1111 1112"]
+    phones = [f"call: +1 (555) 010-{k:04d} or" for k in range(100)] + ["call: +1 (555) 010 or", "call: (555) 010-9999 or"]
+    df = spark.createDataFrame(list(enumerate(phones)), "doc_id long, text string")
+    found = {r.doc_id: [phones[r.doc_id][s.start:s.end] for s in r.added] for r in pii.extract(df).collect()}
+    assert found[100] == ["+1 (555) 010"] and "(555) 010-9999" in found[101]
+
+
 def test_toxicity(spark, docs, empty):
     insults, plain = ["stupid", "moron", "loser"], ["house", "tree", "river", "stone"]
     rng = np.random.default_rng(2)
