@@ -16,7 +16,9 @@ very long text needs memory in proportion to its own words only.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Callable
+from itertools import count
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -132,10 +134,10 @@ class RunFinder:
         self.ends = np.cumsum(lengths + 1)
         self.starts = self.ends - lengths - 1
         self.lengths = lengths
-        known: dict[str, int] = {}
+        known: defaultdict[str, int] = defaultdict(count().__next__)
         codes: list[int] = []
         for rank, k in enumerate(self.order):
-            codes += [known.setdefault(w, len(known)) for w in texts[k]]
+            codes += [known[w] for w in texts[k]]
             codes.append(-1 - rank)
         self.codes = np.array(codes, np.int64)
         self.found: dict[tuple[int, int], int] = {}  # (first word, end) -> smallest period
