@@ -28,7 +28,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.llm import common
@@ -87,13 +87,8 @@ class Weights:
         return (((rest >> self.low) + cost) << self.low) | (letter << (self.low - DIGIT)) | ((rest & self.mask) >> DIGIT)
 
     def letters(self, weight: int) -> list[int]:
-        low, out = weight & self.mask, []
-        for place in range(self.low - DIGIT, -1, -DIGIT):
-            digit = (low >> place) & ((1 << DIGIT) - 1)
-            if not digit:
-                break
-            out.append(digit)
-        return out
+        places = f"{weight & self.mask:0{self.low // DIGIT}o}"  # a letter is one octal digit
+        return [int(digit) for digit in places.rstrip("0")]
 
     def length(self, weight: int) -> int:
         """Letters of a weight: all places but the zeros at its end."""
@@ -242,12 +237,13 @@ def damaged(conversations: DataFrame) -> DataFrame:
 # --- Repair ---------------------------------------------------------------------------------------------------------
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Equal keys; a null id is a key like any other."""
+def joined_by(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``left`` with the other columns of ``right``; a null id is a key like any other."""
+    right = right.withColumnsRenamed({k: f"_{k}" for k in keys})
     match = F.lit(True)
     for key in keys:
-        match = match & left[key].eqNullSafe(right[key])
-    return match
+        match = match & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    return left.join(right, match, how).drop(*[f"_{k}" for k in keys])
 
 
 def numbered(rows: DataFrame) -> DataFrame:
@@ -269,8 +265,7 @@ def numbered(rows: DataFrame) -> DataFrame:
     role = F.greatest(F.lit(0), F.instr(F.lit(ROLES[:3]), F.col("initial")) - 1)
     role = F.when(F.col("initial").isin(*ROLES[:3]), role).otherwise(len(ROLES) - 1)
     kind = F.when(F.col("fault").isin("blank", "duplicate"), GONE).when(F.col("fault") == "truncated", CUT).otherwise(FINE)
-    joined = placed.join(firsts, same_key(placed, firsts, ["conv_id", "position"]), "left").select(
-        *[placed[c] for c in ("conv_id", "turn", "rid", "position", "position_of", "initial")], fault.alias("fault"))
+    joined = joined_by(placed, firsts, ["conv_id", "position"], "left").withColumn("fault", fault)
     return common.written(joined.select(
         "conv_id", "turn", "rid", "position", "position_of", "fault",
         F.floor((F.col("position") - 1) / BLOCK).alias("block"),
@@ -363,13 +358,11 @@ def repair(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     counts = places.groupBy("conv_id").agg(
         F.coalesce(F.max("turn") - F.min("turn") + 1 - F.count_distinct("turn"), F.lit(0)).cast("long").alias("gaps"),
         faults("blank"), faults("duplicate"), faults("truncated"))
-    report = counts.join(plans, same_key(counts, plans, ["conv_id"])).select(
-        *[counts[c] for c in counts.columns], "illegal", "cost", "audit")
+    report = joined_by(counts, plans.drop("tokens"), ["conv_id"])
 
     tokens = plans.select("conv_id", F.posexplode("tokens").alias("place", "token")).select(
         "conv_id", (F.col("place") + 1).cast("long").alias("position"), "token")
-    edits = places.join(tokens, same_key(places, tokens, ["conv_id", "position"])).select(
-        "rid", places["position"], "block", "token")
+    edits = joined_by(places, tokens, ["conv_id", "position"]).select("rid", "position", "block", "token")
     turns = rows.join(edits, "rid").select(
         "conv_id", "position", "block", "role", "text", F.posexplode(F.split("token", "")).alias("step", "edit"))
     edit = F.col("edit")
@@ -389,9 +382,9 @@ def digests(turns: DataFrame) -> DataFrame:
     line = F.struct("position", "step", F.concat("role", F.lit(":"), "text").alias("line"))
     blocks = common.written(turns.groupBy("conv_id", "block").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(line)), lambda r: r["line"]), "\n").alias("part")), "repaired")
-    sizes = blocks.groupBy("conv_id").agg(F.count(F.lit(1)).alias("blocks"), F.max("block").alias("block"))
-    sized = blocks.join(sizes.where("blocks > 1").select("conv_id", F.lit(True).alias("long")).alias("s"), F.col(
-        "s.conv_id").eqNullSafe(blocks["conv_id"]), "left").select(blocks["conv_id"], blocks["block"], "part", "long")
+    many = blocks.groupBy("conv_id").agg(F.count(F.lit(1)).alias("blocks")).where("blocks > 1").select(
+        "conv_id", F.lit(True).alias("long"))
+    sized = joined_by(blocks, many, ["conv_id"], "left")
     short = sized.where("long is null").select("conv_id", F.sha2(F.col("part").cast("binary"), 256).alias("sha"))
     kind = turns.schema["conv_id"].dataType.simpleString()
 
@@ -426,8 +419,7 @@ def op11_integer_weights(spark: SparkSession, folder: str) -> DataFrame:
     shas = digests(turns)
     every = source.select("conv_id").distinct()
     nothing = hashlib.sha256(b"").hexdigest()
-    found = every.join(report, same_key(every, report, ["conv_id"]), "left").drop(report["conv_id"])
-    found = found.join(shas, same_key(found, shas, ["conv_id"]), "left").drop(shas["conv_id"])
+    found = joined_by(joined_by(every, report, ["conv_id"], "left"), shas, ["conv_id"], "left")
     counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c)
               for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     return found.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
