@@ -1,6 +1,7 @@
 """CSV loading, stored tables, upsert and run history."""
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,7 +72,10 @@ def test_append_matches_by_name_and_prunes_by_day(spark, tmp_path):
     assert stored.count() == 3
     latest = latest_run(stored, ["model_version", "split"])
     assert [(r.loan_id, r.p_default) for r in latest.collect()] == [("a", 0.3)]
-    assert "dynamicpruning" in latest._jdf.queryExecution().executedPlan().toString().lower()
+    # Of the two stored days, only the newest run's is opened.
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    pruned = re.search(r"PartitionFilters: \[([^]]*)\]", plan).group(1)
+    assert "2020-01-02" in pruned and "2020-01-01" not in pruned, plan
     with pytest.raises(ValueError):
         append_rows(first.drop("p_default"), path, PREDICTIONS_SCHEMA)
     with pytest.raises(ValueError):
