@@ -151,29 +151,84 @@ MIN_LOGODDS = 0.02
 DECLINE_RATE = 0.10
 
 
-def _schema(spec: str) -> T.StructType:
-    kinds = {"ts": T.TimestampType(), "str": T.StringType(), "long": T.LongType(),
-             "dbl": T.DoubleType(), "date": T.DateType()}
-    fields = (item.split(":") for item in spec.split())
-    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in fields])
-
-
 # --- Fixed values: layouts of the stored tables --------------------------------------------------
-PREDICTIONS_SCHEMA = _schema("ts:ts model_version:str split:str loan_id:str issue_date:date p_default:dbl")
-METRICS_SCHEMA = _schema(
-    "ts:ts model_version:str split:str metrics_json:str roc_auc:dbl pr_auc:dbl brier:dbl "
-    "top_1pct_precision:dbl top_1pct_recall:dbl top_5pct_precision:dbl top_5pct_recall:dbl "
-    "top_10pct_precision:dbl top_10pct_recall:dbl")
-SCORE_DRIFT_SCHEMA = _schema(
-    "ts:ts model_version:str split:str issue_month:str n:long avg_pd:dbl p50:dbl p90:dbl p99:dbl")
-FEATURE_DRIFT_SCHEMA = _schema(
-    "ts:ts model_version:str split:str issue_month:str feature_name:str feature_type:str n:long null_rate:dbl "
-    "mean:dbl std:dbl min:dbl max:dbl top_category:str top_category_share:dbl entropy:dbl")
-ROLLUPS_SCHEMA = _schema(
-    "ts:ts model_version:str split:str n:long base_rate:dbl "
-    "top_1pct_default_rate:dbl top_5pct_default_rate:dbl top_10pct_default_rate:dbl "
-    "lift_at_1pct:dbl lift_at_5pct:dbl lift_at_10pct:dbl "
-    "recall_at_1pct:dbl recall_at_5pct:dbl recall_at_10pct:dbl")
-ALERTS_SCHEMA = _schema(
-    "ts:ts model_version:str split:str issue_month:str alert_type:str entity:str value:dbl threshold:dbl "
-    "severity:str details:str")
+TIMESTAMP, STRING, LONG, DOUBLE, DATE = T.TimestampType(), T.StringType(), T.LongType(), T.DoubleType(), T.DateType()
+PREDICTIONS_SCHEMA = T.StructType([
+    T.StructField("ts", TIMESTAMP),
+    T.StructField("model_version", STRING),
+    T.StructField("split", STRING),
+    T.StructField("loan_id", STRING),
+    T.StructField("issue_date", DATE),
+    T.StructField("p_default", DOUBLE),
+])
+METRICS_SCHEMA = T.StructType([
+    T.StructField("ts", TIMESTAMP),
+    T.StructField("model_version", STRING),
+    T.StructField("split", STRING),
+    T.StructField("metrics_json", STRING),
+    T.StructField("roc_auc", DOUBLE),
+    T.StructField("pr_auc", DOUBLE),
+    T.StructField("brier", DOUBLE),
+    T.StructField("top_1pct_precision", DOUBLE),
+    T.StructField("top_1pct_recall", DOUBLE),
+    T.StructField("top_5pct_precision", DOUBLE),
+    T.StructField("top_5pct_recall", DOUBLE),
+    T.StructField("top_10pct_precision", DOUBLE),
+    T.StructField("top_10pct_recall", DOUBLE),
+])
+SCORE_DRIFT_SCHEMA = T.StructType([
+    T.StructField("ts", TIMESTAMP),
+    T.StructField("model_version", STRING),
+    T.StructField("split", STRING),
+    T.StructField("issue_month", STRING),
+    T.StructField("n", LONG),
+    T.StructField("avg_pd", DOUBLE),
+    T.StructField("p50", DOUBLE),
+    T.StructField("p90", DOUBLE),
+    T.StructField("p99", DOUBLE),
+])
+FEATURE_DRIFT_SCHEMA = T.StructType([
+    T.StructField("ts", TIMESTAMP),
+    T.StructField("model_version", STRING),
+    T.StructField("split", STRING),
+    T.StructField("issue_month", STRING),
+    T.StructField("feature_name", STRING),
+    T.StructField("feature_type", STRING),
+    T.StructField("n", LONG),
+    T.StructField("null_rate", DOUBLE),
+    T.StructField("mean", DOUBLE),
+    T.StructField("std", DOUBLE),
+    T.StructField("min", DOUBLE),
+    T.StructField("max", DOUBLE),
+    T.StructField("top_category", STRING),
+    T.StructField("top_category_share", DOUBLE),
+    T.StructField("entropy", DOUBLE),
+])
+ROLLUPS_SCHEMA = T.StructType([
+    T.StructField("ts", TIMESTAMP),
+    T.StructField("model_version", STRING),
+    T.StructField("split", STRING),
+    T.StructField("n", LONG),
+    T.StructField("base_rate", DOUBLE),
+    T.StructField("top_1pct_default_rate", DOUBLE),
+    T.StructField("top_5pct_default_rate", DOUBLE),
+    T.StructField("top_10pct_default_rate", DOUBLE),
+    T.StructField("lift_at_1pct", DOUBLE),
+    T.StructField("lift_at_5pct", DOUBLE),
+    T.StructField("lift_at_10pct", DOUBLE),
+    T.StructField("recall_at_1pct", DOUBLE),
+    T.StructField("recall_at_5pct", DOUBLE),
+    T.StructField("recall_at_10pct", DOUBLE),
+])
+ALERTS_SCHEMA = T.StructType([
+    T.StructField("ts", TIMESTAMP),
+    T.StructField("model_version", STRING),
+    T.StructField("split", STRING),
+    T.StructField("issue_month", STRING),
+    T.StructField("alert_type", STRING),
+    T.StructField("entity", STRING),
+    T.StructField("value", DOUBLE),
+    T.StructField("threshold", DOUBLE),
+    T.StructField("severity", STRING),
+    T.StructField("details", STRING),
+])
