@@ -25,6 +25,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,8 +109,10 @@ def learn(rows: DataFrame, passes: int = PASSES) -> np.ndarray:
     if not size:
         return np.zeros(BUCKETS)
     shards = -(-size // SHARD_ROWS)
-    dealt = common.written(rows.select(F.pmod(F.xxhash64("place", "id"), F.lit(shards)).alias("shard"), "place", "y", "found")
-                           .repartition(shards, "shard").sortWithinPartitions("shard", "place", "y", "found"), "quality-shards")
+    # Dealt once and kept; what a lost executor held is dealt again from the written rows. A shard lies in one partition.
+    dealt = rows.select(F.pmod(F.xxhash64("place", "id"), F.lit(shards)).alias("shard"), "place", "y", "found").repartition(
+        shards, "shard").sortWithinPartitions("shard", "place", "y", "found").select("shard", "y", "found").persist(
+        StorageLevel.MEMORY_AND_DISK)
     state = Learner()
     for _ in range(passes):
         sent = context.broadcast((state.leader, state.squares))
@@ -132,13 +135,12 @@ def learn(rows: DataFrame, passes: int = PASSES) -> np.ndarray:
             if learner is not None:
                 yield out()
 
-        # A shard lies in one partition and is sorted; the sort also mends shards that a reader has cut or joined.
-        states = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "place", "y", "found").select(
-            "shard", "y", "found").mapInArrow(run, "shard long, leader binary, squares binary").collect()
+        states = dealt.mapInArrow(run, "shard long, leader binary, squares binary").collect()
         states.sort(key=lambda r: r.shard)
         state = Learner(sum(np.frombuffer(r.leader) for r in states) / len(states),
                         sum(np.frombuffer(r.squares) for r in states) / len(states))
         sent.unpersist()
+    dealt.unpersist()
     return state.weights()
 
 
