@@ -7,6 +7,9 @@ trusted by the mean confidence of its distinct instances, weakened by a prior th
 instance is trusted if any of its patterns is right (noisy or), and so hands the kind on to its other patterns in the
 next round. A context or a shape alone takes part in that once it is trusted itself. Candidates under patterns of high confidence become entities of the pattern's kind.
 
+A card number with a wrong check digit and an address with a part over 255 are wrong instances of their patterns and are
+never found. Of candidates inside one another only the outermost counts.
+
 Texts are read once. Base spans and candidates are written with a row number, so that scoring never reads texts
 again; the graph's edges are counted before they are shuffled, one row per distinct (pattern, instance).
 
@@ -18,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +44,8 @@ CANDIDATE = re.compile(r"[^\s,;|<>\"'()\[\]{}]{6,}")
 GROUPED = re.compile(r"(?<![\w@.%+-])\+?\(?[0-9]++(?:[\x20()./-]{1,3}[0-9]++)++(?![^\W_])")
 MOST_DIGITS = 32
 CONTEXT_WORD = re.compile(r"[^\W\d_]+[:=#.]?|[:=#]")
+#: Kind of a candidate that a fixed pattern took for its own and then refused.
+WRONG = "wrong"
 ROUNDS, TRUST, PRIOR, SEED_SHARE = 3, 0.8, 1.0, 3
 SPAN = "struct<kind: string, start: long, end: long>"
 CANDIDATES = "array<struct<word: string, shape: string, instance: string, kind: string, start: long, end: long>>"
@@ -68,20 +74,31 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def base_spans(text: str) -> list[tuple[str, int, int]]:
-    """The fixed patterns' entities by kind, then start."""
-    out = [("email", a, b) for a, b in emails(text)]
+def matches(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, int]]]:
+    """The fixed patterns' entities by kind, then start; and the matches that failed the test of their kind.
+
+    A number of another length than a card's or a phone's is no failed one: its context may still tell what it is."""
+    out, failed = [("email", a, b) for a, b in emails(text)], []
     for m in PATTERNS["ip"].finditer(text):
         if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
             out.append(("ip", *m.span()))
+        else:
+            failed.append(m.span())
     for m in PATTERNS["card"].finditer(text):
         digits = re.sub(r"[ -]", "", m.group())
-        if 13 <= len(digits) <= 19 and luhn(digits):
-            out.append(("card", *m.span()))
+        if 13 <= len(digits) <= 19:
+            if luhn(digits):
+                out.append(("card", *m.span()))
+            else:
+                failed.append(m.span())
     for m in PATTERNS["phone"].finditer(text):
         if 9 <= sum("0" <= ch <= "9" for ch in m.group()) <= 15:
             out.append(("phone", *m.span()))
-    return out
+    return out, sorted(failed)
+
+
+def base_spans(text: str) -> list[tuple[str, int, int]]:
+    return matches(text)[0]
 
 
 def shape(token: str) -> str:
@@ -107,8 +124,21 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def occurrences(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """Seeds and candidates with context and shape; the instance is a digest, so no identifier is written."""
+def outermost(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that lie in no other one; a candidate inside another is a piece of it."""
+    whole, done = [], 0
+    for a, b in sorted(spans, key=lambda s: (s[0], -s[1])):
+        if b > done:
+            whole.append((a, b))
+            done = b
+    return whole
+
+
+def occurrences(text: str, spans: list[tuple[str, int, int]], failed: list[tuple[int, int]]) -> list[dict]:
+    """Seeds and candidates with context and shape; the instance is a digest, so no identifier is written.
+
+    A candidate that touches a failed match has the kind ``WRONG``: it speaks against its patterns and is never found.
+    """
     out = []
 
     def note(kind: str | None, a: int, b: int) -> None:
@@ -125,10 +155,12 @@ def occurrences(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     for kind, a, b in spans:
         note(kind, a, b)
     starts = [a for a, _ in taken]
-    for a, b in candidates(text):
+    no_starts, no_ends = [a for a, _ in failed], list(accumulate((b for _, b in failed), max))
+    for a, b in outermost(candidates(text)):
         k = bisect_left(starts, b) - 1
         if k < 0 or taken[k][1] <= a:
-            note(None, a, b)
+            j = bisect_left(no_starts, b) - 1
+            note(WRONG if j >= 0 and no_ends[j] > a else None, a, b)
     return out
 
 
@@ -148,11 +180,14 @@ def scored_patterns(edges: DataFrame, rounds: int = ROUNDS, trust: float = TRUST
     in two aggregations, and no list of a node's neighbours is ever built. A pattern needs the trust of ``SEED_SHARE``
     instances in all, seeds or found in an earlier round.
     """
-    edges = common.written(edges.groupBy("pattern", "instance").agg(F.max("kind").alias("kind")), "pii-edges")
+    # An instance that is a seed anywhere is that kind; one refused anywhere else counts against its patterns.
+    known = F.max(F.when(F.col("kind") != WRONG, F.col("kind")))
+    edges = common.written(edges.groupBy("pattern", "instance").agg(
+        F.coalesce(known, F.max("kind")).alias("kind")), "pii-edges")
     sizes = common.written(edges.groupBy("pattern").agg(F.count("*").alias("n")), "pii-sizes")
-    seeds = common.written(edges.where("kind is not null").groupBy("instance").agg(F.max("kind").alias("kind")).select(
+    seeds = common.written(edges.where(F.col("kind") != WRONG).groupBy("instance").agg(F.max("kind").alias("kind")).select(
         "instance", "kind", F.lit(1.0).alias("trust")), "pii-seeds")
-    edges = edges.select("pattern", "instance")
+    edges = edges.where(~F.col("kind").eqNullSafe(WRONG)).select("pattern", "instance")
     state = seeds
     for k in range(rounds):
         scored = common.written(edges.join(state, "instance").groupBy("pattern", "kind").agg(
@@ -184,9 +219,9 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text: str = "text", keep: l
         def work(texts: list) -> list[tuple]:
             rows = []
             for t in texts:
-                spans = base_spans(t or "")
+                spans, failed = matches(t or "")
                 rows.append(([{"kind": k, "start": a, "end": b} for k, a, b in spans],
-                             occurrences(t, spans) if t else []))
+                             occurrences(t, spans, failed) if t else []))
             return rows
 
         return work

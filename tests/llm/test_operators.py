@@ -405,3 +405,23 @@ def test_pipeline(spark):
     assert not any(re.search(r"[a-z]+@[a-z0-9]+\.", r.text or "") for r in kept)
     pieces = pipeline.pack_sequences(spark, docs, folder)
     assert pieces.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_pii_refused_numbers_speak_against_their_pattern(spark):
+    good = ["4539578763621486", "4556737586899855", "4716461583322103", "4024007103939509", "4485275742308327"]
+    assert all(pii.luhn(n) for n in good) and not pii.luhn("4539578763621487")
+    texts = [f"see the {n} there" for n in good] + [f"see the {int(n) + 1} there" for n in good]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.extract(df).collect()}
+    assert all(len(found[k].base) == 1 for k in range(5))
+    assert not any(r.added for r in found.values())
+    edges = spark.createDataFrame([("p", f"s{k}", "card") for k in range(8)] + [("p", f"w{k}", "wrong") for k in range(4)],
+                                  "pattern string, instance string, kind string")
+    assert pii.trusted_patterns(edges).collect() == []
+    assert len(pii.trusted_patterns(edges.where("kind = 'card'")).collect()) == 1
+
+
+def test_pii_candidates_are_outermost():
+    for text in ("ring +1 (555) 010-9999 now", "call 020 7946 0000-12 or AB-123456", "id 12-34/56-78 x" * 50):
+        spans = pii.outermost(pii.candidates(text))
+        assert spans and all(b <= c or not (c >= a and d <= b) for (a, b), (c, d) in zip(spans, spans[1:]))
