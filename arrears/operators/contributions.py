@@ -9,17 +9,15 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import combinations
 from math import factorial
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arrears.operators.boosting import DEPTH, INNER, Forest, Tree, goes_left
 from arrears.operators.model import DefaultModel
-from arrears.shared import shared_dir
 
 
 @dataclass
@@ -70,82 +68,76 @@ class LinearModel:
         return loans.withColumns({"phi": F.array(*phi), "bias": F.lit(bias), "margin": self.margin()})
 
 
-def _leaf_tables(nodes: list, weight: float) -> Iterator[tuple[list, np.ndarray, float]]:
-    """For each leaf: the conditions per input on its path, and the contributions for every way to meet them.
+def _path_tables(tree: Tree) -> tuple[np.ndarray, float]:
+    """For each leaf, answer pattern and level of its path: the contribution of that level's slot. And the mean margin.
 
-    A leaf is a small game: the inputs on its path are the players, each either sends the loan towards the leaf (1) or
-    leaves it at the share of training rows that went there. With at most ``depth`` players every outcome can be
-    tabulated once, and explaining a loan is a table lookup per leaf.
+    A leaf is a small game: the slots on its path are the players, each either sends the loan towards the leaf or leaves
+    it at the share of training weight that went there. A slot asked twice is one player, at the place of its first
+    question; the other place is a player without influence. Weights of the players' orders come from the coefficients
+    of a product of one linear term per other player.
     """
-    by_id = {n.id: n for n in nodes}
-    walk = [(by_id[min(by_id)], {})]
-    while walk:
-        node, path = walk.pop()
-        if node.leftChild >= 0:
-            for child, goes_left in ((by_id[node.leftChild], True), (by_id[node.rightChild], False)):
-                here = {k: list(v) for k, v in path.items()}
-                here.setdefault(node.split.featureIndex, []).append((
-                    goes_left, node.split.numCategories < 0, tuple(node.split.leftCategoriesOrThreshold),
-                    child.impurityStats[0] / node.impurityStats[0]))
-                walk.append((child, here))
-            continue
-        players = list(path)
-        absent = [float(np.prod([step[3] for step in path[p]])) for p in players]
-        d, value = len(players), weight * node.prediction
-        table = np.zeros((2 ** d, d))
-        for outcome in range(2 ** d):
-            present = [(outcome >> i) & 1 for i in range(d)]
-            for i in range(d):
-                others = [j for j in range(d) if j != i]
-                for size in range(d):
-                    share = factorial(size) * factorial(d - size - 1) / factorial(d)
-                    for known in combinations(others, size):
-                        reach = np.prod([present[j] if j in known else absent[j] for j in others])
-                        table[outcome, i] += share * reach * (present[i] - absent[i]) * value
-        yield [(p, [step[:3] for step in path[p]]) for p in players], table, value * float(np.prod(absent))
+    leaf, cover = np.arange(INNER + 1), np.array(tree.cover)
+    node = np.stack([(leaf + INNER + 1 >> DEPTH - level) - 1 for level in range(DEPTH + 1)], 1)
+    slot, inner = np.array(tree.slot), node[:, :-1]
+    asked, weight = slot[inner], np.maximum(cover[inner], 1e-300)
+    share = np.where(asked < 0, node[:, 1:] % 2 == 1, cover[node[:, 1:]] / weight)
+    first = np.argmax(asked[:, :, None] == asked[:, None, :], axis=2)
+    absent = np.ones((len(leaf), DEPTH))
+    present = np.ones((len(leaf), 2 ** DEPTH, DEPTH))
+    pattern = np.arange(2 ** DEPTH)
+    for level in range(DEPTH):
+        absent[leaf, first[:, level]] *= share[:, level]
+        present[leaf[:, None], pattern[None, :], first[:, level][:, None]] *= pattern >> level & 1
+    value = np.array(tree.leaf)
+    table = np.zeros_like(present)
+    for player in range(DEPTH):
+        others = [p for p in range(DEPTH) if p != player]
+        terms = [np.ones(present.shape[:2])]  # by number of players known
+        for other in others:
+            unknown, known = absent[:, None, other], present[:, :, other]
+            terms = [sum(parts) for parts in zip([t * unknown for t in terms] + [0.0], [0.0] + [t * known for t in terms])]
+        orders = sum(t * factorial(n) * factorial(DEPTH - n - 1) for n, t in enumerate(terms)) / factorial(DEPTH)
+        table[:, :, player] = value[:, None] * (present[:, :, player] - absent[:, None, player]) * orders
+    return table, float((value * absent.prod(axis=1)).sum())
+
+
+def _explained(forest: Forest, tables: list[np.ndarray], codes: np.ndarray) -> np.ndarray:
+    """Contributions by slot and loan."""
+    phi = np.zeros((len(forest.inputs.owners), codes.shape[1]))
+    missing = forest.inputs.missing
+    for tree, table in zip(forest.trees, tables):
+        answers = [goes_left(tree, node, codes, missing) for node in range(INNER)]
+        for leaf in range(INNER + 1):
+            pattern, path = np.zeros(codes.shape[1], np.int64), []
+            for level in range(DEPTH):
+                node, after = ((leaf + INNER + 1 >> DEPTH - step) - 1 for step in (level, level + 1))
+                path.append(tree.slot[node])
+                pattern |= (answers[node] == (after % 2 == 1)).astype(np.int64) << level
+            for level, slot in enumerate(path):
+                if slot >= 0 and table[leaf, :, level].any():
+                    phi[slot] += table[leaf, :, level][pattern]
+    return phi
 
 
 def tree_contributions(model: DefaultModel, loans: DataFrame) -> DataFrame:
     """Exact path-dependent Shapley values of the boosted trees, in log-odds, for every loan.
 
-    The trees are read back from their saved form, whose size depends on the model and not on the loans. Loans stream
-    through as Arrow batches; all arithmetic on them is vectorised.
+    Tables of the paths are built in the tasks, once each. Loans stream through as Arrow batches; all arithmetic on
+    them is vectorised. A row with missing inputs is explained like any other.
     """
-    spark = loans.sparkSession
-    path = f"{shared_dir(spark)}/trees-{model.trees.uid}"
-    model.trees.write().overwrite().save(path)
-    weights = model.trees.treeWeights
-    trees = defaultdict(list)
-    for row in spark.read.parquet(f"{path}/data").collect():
-        trees[row.treeID].append(row.nodeData)
-    leaves, bias = [], 0.0
-    for tree, nodes in sorted(trees.items()):
-        for players, table, expected in _leaf_tables(nodes, 2 * weights[tree]):
-            leaves.append((players, table))
-            bias += expected
-    shared, slots = spark.sparkContext.broadcast(leaves), len(model.owners)
+    forest = model.forest
+    bias = forest.base + sum(_path_tables(tree)[1] for tree in forest.trees)
+    shared = loans.sparkSession.sparkContext.broadcast(forest)  # its size follows from the trees
 
     @F.pandas_udf("array<double>")
-    def explain(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tables = shared.value
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        known = shared.value
+        tables = [_path_tables(tree)[0] for tree in known.trees]
         for batch in batches:
-            x = np.stack(batch.to_numpy()) if len(batch) else np.zeros((0, slots))
-            phi, sides = np.zeros((len(x), slots)), {}
-            for players, table in tables:
-                outcome = np.zeros(len(x), dtype=np.int64)
-                for bit, (slot, steps) in enumerate(players):
-                    met = np.ones(len(x), dtype=bool)
-                    for goes_left, ordered, cut in steps:
-                        if (slot, cut) not in sides:
-                            sides[slot, cut] = x[:, slot] <= cut[0] if ordered else np.isin(x[:, slot], cut)
-                        met &= sides[slot, cut] if goes_left else ~sides[slot, cut]
-                    outcome |= met.astype(np.int64) << bit
-                for i, (slot, _) in enumerate(players):
-                    phi[:, slot] += table[outcome, i]
-            yield pd.Series(list(phi))
+            yield pd.Series(list(_explained(known, tables, known.inputs.codes(batch)).T))
 
     return model.with_margin(loans).withColumns({
-        "phi": explain(vector_to_array("x")), "bias": F.lit(bias)}).drop("x")
+        "phi": explain(F.struct(*forest.inputs.select(loans))), "bias": F.lit(bias)})
 
 
 def fold_contributions(explained: DataFrame, owners: list[str]) -> DataFrame:

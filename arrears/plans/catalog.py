@@ -32,7 +32,6 @@ from arrears.sources.tables import append_rows, ensure_table, read_split, read_t
 
 Query = Callable[[SparkSession, str], DataFrame]
 RATE = 9  # digits kept of shares and rates: more than a tie needs, fewer than the order of addition disturbs
-TREE_ROUNDS = 10  # enough to exercise boosting; a real training run uses the default of the model operator
 _catalog: dict[str, Query] = {}
 
 
@@ -541,7 +540,7 @@ def reason_summary(spark, sf):
 def train_and_score(spark, sf):
     """Boosted trees, calibrated, applied to the test split."""
     b = book(spark, sf)
-    model = train_model(b.features, "trees", rounds=TREE_ROUNDS)
+    model = train_model(b.features, "trees")
     return score_split(model, b.features, "test", DRIFT_2)
 
 
@@ -549,7 +548,7 @@ def train_and_score(spark, sf):
 def calibration_skill(spark, sf):
     """Brier skill of the raw and the calibrated scores on the test split."""
     b = book(spark, sf)
-    model = train_model(b.features, "trees", rounds=TREE_ROUNDS)
+    model = train_model(b.features, "trees")
     scored = model.score(read_split(b.features, "test"), "calibrated", raw_out="raw")
     long = settle(scored.unpivot(["label"], ["raw", "calibrated"], "score", "p_default"), "raw-calibrated")
     return brier_skill(long, ["score"])
@@ -558,19 +557,19 @@ def calibration_skill(spark, sf):
 @query
 def evaluate_model(spark, sf):
     b = book(spark, sf)
-    return evaluate_splits(train_model(b.features, "trees", rounds=TREE_ROUNDS), b.features)
+    return evaluate_splits(train_model(b.features, "trees"), b.features)
 
 
 @query
 def ablation_table(spark, sf):
-    return ablation(book(spark, sf).features, "trees", rounds=TREE_ROUNDS)
+    return ablation(book(spark, sf).features, "trees")
 
 
 @query
 def training(spark, sf):
     """A training run on the lender-independent inputs; returns the stored metrics."""
     store = Store(spark, _scratch(spark, "training"))
-    training_run(store, book(spark, sf).features, "trees", DRIFT_2, "no_lc", TREE_ROUNDS, skip_validation=True,
+    training_run(store, book(spark, sf).features, "trees", DRIFT_2, "no_lc", skip_validation=True,
                  save_to=store.path("model"))
     return store.read("model_metrics").drop("run_date")
 
@@ -579,5 +578,5 @@ def training(spark, sf):
 def tree_reasons(spark, sf):
     """Reason codes of the declined test loans from exact contributions of boosted trees."""
     b = book(spark, sf)
-    model = train_model(b.features, "trees", "no_lc_strict", TREE_ROUNDS)
+    model = train_model(b.features, "trees", "no_lc_strict")
     return explanation_run(model, read_split(b.features, "test"), _scratch(spark, "reasons"))[0]
