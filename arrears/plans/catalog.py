@@ -5,6 +5,7 @@ Doubles are rounded here, and only here, so that results can be compared across
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -18,7 +19,7 @@ from arrears.operators.drift import MONTH_KEYS, categorical_drift, drift_base, f
 from arrears.operators.history import latest_run, newest_model, upsert
 from arrears.operators.metrics import (
     RUN_KEYS, binary_metrics, brier_skill, exact_topk, metrics_row, ranking_rollups, reliability_curve, run_time)
-from arrears.operators.model import ablation, evaluate_splits, score_split, train_model
+from arrears.operators.model import DefaultModel, ablation, evaluate_splits, score_split, train_model
 from arrears.operators.ranks import (
     cumulate, discrete_quantiles, histogram, interpolated_quantiles, percent_rank_from, spearman)
 from arrears.plans.book import DRIFT_1, DRIFT_2, FEATURE_SET_WEIGHTS, NUMERIC_WEIGHTS, V2_RUN_2, book, fixed_score
@@ -536,11 +537,20 @@ def reason_summary(spark, sf):
 # --- Fitted models ----------------------------------------------------------------------------------------------------
 
 
+def _fits(spark: SparkSession, sf: str) -> str:
+    """Folder with one round log per feature set, so that queries of an application share a fit of the same rows."""
+    return f"{shared_dir(spark)}/fits-{hashlib.sha256(sf.rstrip('/').encode()).hexdigest()[:16]}"
+
+
+def _fitted(spark: SparkSession, sf: str, feature_set: str = "full") -> DefaultModel:
+    return train_model(book(spark, sf).features, "trees", feature_set, log=f"{_fits(spark, sf)}/{feature_set}")
+
+
 @query
 def train_and_score(spark, sf):
     """Boosted trees, calibrated, applied to the test split."""
     b = book(spark, sf)
-    model = train_model(b.features, "trees")
+    model = _fitted(spark, sf)
     return score_split(model, b.features, "test", DRIFT_2)
 
 
@@ -548,7 +558,7 @@ def train_and_score(spark, sf):
 def calibration_skill(spark, sf):
     """Brier skill of the raw and the calibrated scores on the test split."""
     b = book(spark, sf)
-    model = train_model(b.features, "trees")
+    model = _fitted(spark, sf)
     scored = model.score(read_split(b.features, "test"), "calibrated", raw_out="raw")
     long = settle(scored.unpivot(["label"], ["raw", "calibrated"], "score", "p_default"), "raw-calibrated")
     return brier_skill(long, ["score"])
@@ -556,13 +566,12 @@ def calibration_skill(spark, sf):
 
 @query
 def evaluate_model(spark, sf):
-    b = book(spark, sf)
-    return evaluate_splits(train_model(b.features, "trees"), b.features)
+    return evaluate_splits(_fitted(spark, sf), book(spark, sf).features)
 
 
 @query
 def ablation_table(spark, sf):
-    return ablation(book(spark, sf).features, "trees")
+    return ablation(book(spark, sf).features, "trees", log=_fits(spark, sf))
 
 
 @query
@@ -570,7 +579,7 @@ def training(spark, sf):
     """A training run on the lender-independent inputs; returns the stored metrics."""
     store = Store(spark, _scratch(spark, "training"))
     training_run(store, book(spark, sf).features, "trees", DRIFT_2, "no_lc", skip_validation=True,
-                 save_to=store.path("model"))
+                 save_to=store.path("model"), log=f"{_fits(spark, sf)}/no_lc")
     return store.read("model_metrics").drop("run_date")
 
 
@@ -578,5 +587,5 @@ def training(spark, sf):
 def tree_reasons(spark, sf):
     """Reason codes of the declined test loans from exact contributions of boosted trees."""
     b = book(spark, sf)
-    model = train_model(b.features, "trees", "no_lc_strict")
+    model = _fitted(spark, sf, "no_lc_strict")
     return explanation_run(model, read_split(b.features, "test"), _scratch(spark, "reasons"))[0]
