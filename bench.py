@@ -2,6 +2,7 @@
 
 Each query is run once to warm up and then twice; the smaller time counts. The stored tables of the loan book are
 written during the warm-up, as they would be in service, and the full feature build is timed as a query of its own.
+A query that fits a model counts with its first call, because later ones read the finished fit.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ HEADLINE = [
     "dash_risk_bands", "dash_score_trend", "dash_feature_drift", "dash_summary", "cutoff_what_if",
     "implied_rate_report", "direction_check", "top_reasons", "reason_summary", "refresh_monitoring", "train_and_score",
 ]
+FITTING = {"train_and_score"}
 
 
 def run(build, spark: SparkSession, folder: str) -> float:
@@ -43,8 +45,9 @@ def main() -> None:
     built = catalog()
     times = {}
     for name in HEADLINE:
-        run(built[name], spark, folder)
-        times[name] = round(min(run(built[name], spark, folder) for _ in range(2)), 3)
+        first = run(built[name], spark, folder)
+        later = [run(built[name], spark, folder) for _ in range(0 if name in FITTING else 2)]
+        times[name] = round(min(later, default=first), 3)
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "headline queries, total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
