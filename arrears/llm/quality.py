@@ -7,8 +7,8 @@ short ones. A score is one sparse dot product.
 The learner keeps two numbers per bucket (the leader's sum and the squared gradients), so the model has a fixed size.
 Each pass sends the labelled rows, in shards of ``SHARD_ROWS``, through one learner per shard, all of which begin with
 the same state; the next pass begins with the mean of their states. A shard is streamed row by row in the order of a
-hash of its ids. At most ``sample`` labelled rows are learned from, chosen by that hash, so at most ``sample`` /
-``SHARD_ROWS`` states of 2 MB each come to the driver. Every document is scored over its whole text; a very long text
+hash of its ids. At most ``sample`` labelled rows are learned from, chosen by that hash. The mean of the shards' states
+is taken in ``PARTS`` ranges of buckets by as many tasks, so one state of 2 MB a pass comes to the driver. Every document is scored over its whole text; a very long text
 needs memory in proportion to its own words.
 
 Null and empty texts have no features and get the score of the offset. A null id is never held out and never learned
@@ -38,6 +38,8 @@ WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 BUCKETS = 1 << 17
 #: Bound of the labelled rows that are learned from, and rows of one shard.
 SAMPLE, SHARD_ROWS = 20_000, 1_000
+#: Ranges of buckets whose mean states are taken apart.
+PARTS = 8
 PASSES = 6
 #: Learning rate and its damping, and the two penalties.
 RATE, DAMPING, SPARSE, SMOOTH = 2.0, 1.0, 0.02, 0.05
@@ -103,6 +105,24 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, la
     return common.written(found, "quality-train")
 
 
+STATE_SCHEMA = "part int, leader binary, squares binary"
+
+
+def mean_states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The mean of the states of each part, added up in the order of their shards."""
+    found: dict[int, list] = {}
+    for batch in batches:
+        for part, _, *state in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            known = found.setdefault(part, [0, 0.0, 0.0])
+            known[0] += 1
+            known[1:] = [total + np.frombuffer(one) for total, one in zip(known[1:], state, strict=True)]
+    for part, (n, *totals) in found.items():
+        leader, squares = ((total / n).tobytes() for total in totals)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([leader], pa.binary()), pa.array([squares], pa.binary())],
+            names=["part", "leader", "squares"])
+
+
 def learn(rows: DataFrame, passes: int = PASSES) -> np.ndarray:
     """Weights of all buckets."""
     context, size = rows.sparkSession.sparkContext, rows.count()
@@ -122,8 +142,10 @@ def learn(rows: DataFrame, passes: int = PASSES) -> np.ndarray:
 
             def out() -> pa.RecordBatch:
                 return pa.RecordBatch.from_arrays(
-                    [pa.array([shard], pa.int64()), pa.array([learner.leader.tobytes()], pa.binary()),
-                     pa.array([learner.squares.tobytes()], pa.binary())], names=["shard", "leader", "squares"])
+                    [pa.array(range(PARTS), pa.int32()), pa.array([shard] * PARTS, pa.int64()),
+                     pa.array([part.tobytes() for part in np.split(learner.leader, PARTS)], pa.binary()),
+                     pa.array([part.tobytes() for part in np.split(learner.squares, PARTS)], pa.binary())],
+                    names=["part", "shard", "leader", "squares"])
 
             for batch in batches:
                 for key, y, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -135,10 +157,11 @@ def learn(rows: DataFrame, passes: int = PASSES) -> np.ndarray:
             if learner is not None:
                 yield out()
 
-        states = dealt.mapInArrow(run, "shard long, leader binary, squares binary").collect()
-        states.sort(key=lambda r: r.shard)
-        state = Learner(sum(np.frombuffer(r.leader) for r in states) / len(states),
-                        sum(np.frombuffer(r.squares) for r in states) / len(states))
+        states = dealt.mapInArrow(run, "part int, shard long, leader binary, squares binary").repartitionById(
+            PARTS, "part").sortWithinPartitions("part", "shard").mapInArrow(mean_states, STATE_SCHEMA).collect()
+        states.sort(key=lambda r: r.part)
+        state = Learner(np.concatenate([np.frombuffer(r.leader) for r in states]),
+                        np.concatenate([np.frombuffer(r.squares) for r in states]))
         sent.unpersist()
     dealt.unpersist()
     return state.weights()

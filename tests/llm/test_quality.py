@@ -111,3 +111,28 @@ def test_query_on_given_documents(spark):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     held = got.where("held_out").join(labels, "doc_id").selectExpr("predicted = quality AS right").collect()
     assert len(held) > 50 and sum(r.right for r in held) / len(held) > 0.85
+
+
+def test_one_state_a_pass_comes_to_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(q, "SHARD_ROWS", 5)
+    data = [(i, i, i % 2, q.buckets(f"word {i % 7} of {i % 2}").tobytes()) for i in range(23)]
+    rows = spark.createDataFrame(data, "id long, place long, y int, found binary")
+    dealt = rows.selectExpr("pmod(xxhash64(place, id), 5) AS shard", "place", "y", "found").orderBy(
+        "shard", "place", "y", "found").collect()
+    state = q.Learner()
+    for _ in range(2):
+        shards = {}
+        for r in dealt:
+            shards.setdefault(r.shard, q.Learner(state.leader, state.squares)).learn(np.frombuffer(r.found, np.int32), r.y)
+        state = q.Learner(*(sum(getattr(s, name) for s in shards.values()) / len(shards) for name in ("leader", "squares")))
+    kind, sizes = type(rows), []
+    collect = kind.collect
+
+    def measured(df):
+        found = collect(df)
+        sizes.append(sum(len(v) for r in found for v in r if isinstance(v, (bytes, bytearray))))
+        return found
+
+    monkeypatch.setattr(kind, "collect", measured)
+    assert (q.learn(rows, passes=2) == state.weights()).all() and len(shards) > 1
+    assert sizes and max(sizes) == 2 * 8 * q.BUCKETS
