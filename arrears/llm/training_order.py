@@ -131,10 +131,12 @@ def materialise(docs: DataFrame, text: str = "text", path: str | None = None, si
 def read_from(shards: DataFrame, slot: int = 0, size: int = 2048, per_shard: int = 256, width: int = 2) -> DataFrame:
     """slot, shard, byte_offset, ids of all sequences from ``slot`` on; earlier shards are not read."""
     stride = size * width
-    rows = shards.where(F.col("shard") >= slot // per_shard).select("shard", F.explode(F.transform(
+    # The shard's bytes are bound once, as an array of one: a column read inside the inner lambda is copied for each slot.
+    slots = F.transform(F.array("data"), lambda data: F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda k: F.struct(
             (F.col("first_slot") + k).alias("slot"), (k * stride).alias("byte_offset"),
-            F.substring(F.col("data"), (k * stride + 1).cast("int"), F.lit(stride)).alias("ids")))).alias("s"))
+            F.substring(data, (k * stride + 1).cast("int"), F.lit(stride)).alias("ids"))))
+    rows = shards.where(F.col("shard") >= slot // per_shard).select("shard", F.explode(F.get(slots, F.lit(0))).alias("s"))
     return rows.select("s.slot", "shard", "s.byte_offset", "s.ids").where(F.col("slot") >= slot)
 
 

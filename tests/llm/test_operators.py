@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -90,6 +91,20 @@ def test_packing(docs, empty, library):
     assert [packing.pad_to(n) for n in (1, 3, 1024, 2047)] == [1, 2048, 1024, 2048]
 
 
+def test_training_order_reads_a_shard_once(spark, tmp_path):
+    """A shard's bytes are not copied for each of its slots, here 8192 times 32 MB."""
+    size, n = 2048, 8192
+    ids = np.arange(size * n, dtype="<u4").astype("<u2").tobytes()
+    row = (0, 0, n, bytearray(ids))
+    spark.createDataFrame([row], "shard long, first_slot long, n long, data binary").write.parquet(f"{tmp_path}/one")
+    shards = spark.read.parquet(f"{tmp_path}/one")
+    start = time.monotonic()
+    got = training_order.read_from(shards, 0, size, n).select("slot", F.crc32("ids").alias("crc")).collect()
+    assert time.monotonic() - start < 20
+    stride = 2 * size
+    assert [(r.slot, r.crc) for r in got] == [(k, zlib.crc32(ids[k * stride:(k + 1) * stride])) for k in range(n)]
+
+
 def test_training_order(docs, empty, library):
     for n in (1, 2, 7, 100, 4097):
         slots = training_order.permute(np.arange(n), n, 5)
