@@ -21,7 +21,7 @@ UNITS = re.compile(r"[ \n]+[^ \n]*|[^ \n]+")
 #: White space other than blank and line feed, and format characters next to it.
 ODD_SPACE = r"\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
 #: Characters of later blocks, whose classes may differ between the libraries, and white space they may not get through.
-UNUSUAL = r"[\u0250-\U0010ffff]|[ \n]{1000}"
+UNUSUAL, LONG_GAP = r"\u0250-\U0010ffff", re.compile(r"[ \n]{1000}")
 #: Fixed value: the pre-tokeniser of the vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PLAIN_SETTINGS = {"normalizer": None, "post_processor": None, "pre_tokenizer": {
@@ -97,13 +97,20 @@ class Encoder:
 
     def __init__(self, path: str, ranked: bool):
         self.tokenizer = library(path)
-        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([f"[{ODD_SPACE}]", *special]))
-        self.slow = re.compile("|".join([f"[{ODD_SPACE}]", UNUSUAL, *special]))
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([f"[{ODD_SPACE}]", *map(re.escape, self.special)]))
+        self.odd = re.compile(f"[{ODD_SPACE}{UNUSUAL}]")
         self.fast = _ranked(path).encode_ordinary if ranked else None
 
+    def slow(self, text: str) -> bool:
+        """Whether the text is left to the library. One character class is searched faster than alternatives; a long gap
+        has two equal characters side by side or all three of the last pattern."""
+        if self.odd.search(text) or any(token in text for token in self.special):
+            return True
+        return any(pair in text for pair in ("  ", "\n\n", " \n ")) and LONG_GAP.search(text) is not None
+
     def ids(self, text: str) -> list[int]:
-        if self.fast and not self.slow.search(text):
+        if self.fast and not self.slow(text):
             return self.fast(text)
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 

@@ -14,6 +14,8 @@ are a single end id; repeated rows and null ids are encoded like any other; no d
 
 from __future__ import annotations
 
+import sys
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -56,6 +58,15 @@ def sequence_of(slots: np.ndarray, n: int, key: int) -> np.ndarray:
     return permute(slots, n, key, inverse=True)
 
 
+def _bytes(ids: list[int], end_id: int, width: int) -> bytes:
+    """The ids and the end id as little-endian integers."""
+    got = array({1: "B", 2: "H", 4: "I", 8: "Q"}[width], ids)
+    got.append(end_id)
+    if sys.byteorder == "big":
+        got.byteswap()
+    return got.tobytes()
+
+
 def sequences(docs: DataFrame, text: str, path: str, size: int, end_id: int, width: int) -> DataFrame:
     """Written table: part, k (number inside the task), ids (size * width bytes)."""
     kind, ranked = f"<u{width}", tokens.by_rank(path)
@@ -72,8 +83,7 @@ def sequences(docs: DataFrame, text: str, path: str, size: int, end_id: int, wid
         for whole in batches:
             for at in range(0, whole.num_rows, common.ROWS_AT_ONCE):
                 texts = whole.slice(at, common.ROWS_AT_ONCE).column(0).to_pylist()
-                rest = b"".join([rest, *(
-                    np.array([*(encoder.ids(t) if t else ()), end_id], kind).tobytes() for t in texts)])
+                rest = b"".join([rest, *(_bytes(encoder.ids(t) if t else [], end_id, width) for t in texts)])
                 whole_ones = len(rest) // stride
                 if whole_ones:
                     yield batch([rest[i * stride:(i + 1) * stride] for i in range(whole_ones)])

@@ -91,6 +91,16 @@ def test_packing(docs, empty, library):
     assert [packing.pad_to(n) for n in (1, 3, 1024, 2047)] == [1, 2048, 1024, 2048]
 
 
+def test_texts_left_to_the_library():
+    path = tokens.vocabulary()
+    encoder = tokens.Encoder(path, tokens.by_rank(path))
+    gaps = [" " * 1000, "\n" * 1000, " \n" * 500, "a" + "  \n" * 334]
+    for text in ["a\tb", "\u0250", "\U0001f600", "a<|endoftext|>", *gaps]:
+        assert encoder.slow(text)
+    for text in ["", "a b\nc", "\u00e9", "<|endoftext|", " " * 999, "\n \n", (" \n" * 499 + "a") * 3]:
+        assert not encoder.slow(text)
+
+
 def test_training_order_reads_a_shard_once(spark, tmp_path):
     """A shard's bytes are not copied for each of its slots, here 8192 times 32 MB."""
     size, n = 2048, 8192
