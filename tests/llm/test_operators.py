@@ -450,3 +450,35 @@ def test_pii_candidates_are_outermost():
     for text in ("ring +1 (555) 010-9999 now", "call 020 7946 0000-12 or AB-123456", "id 12-34/56-78 x" * 50):
         spans = pii.outermost(pii.candidates(text))
         assert spans and all(b <= c or not (c >= a and d <= b) for (a, b), (c, d) in zip(spans, spans[1:]))
+
+
+def test_passage_anchors_of_a_batch_hold_nothing_back(spark):
+    words = [["a", "b" * 300, "é" * 9, "12345678", "123456789"] * 5, [], ["x"] * 12, [f"w{k % 7}" for k in range(60)]]
+    hashes = passages.WordHashes()
+    flat = hashes.of([w for text in words for w in text])
+    assert flat.tolist() == [hashes.of([w])[0] for text in words for w in text] and not vars(hashes)
+    assert len(set(flat.tolist())) == 13
+    sizes = np.array([len(text) for text in words])
+    want, at = [], 0
+    for text in words:
+        want += [(a, first + at, last + at) for a, first, last in passages.anchors(hashes.of(text))]
+        at += len(text)
+    assert list(zip(*(x.tolist() for x in passages.runs(flat, sizes, 13)), strict=True)) == want
+    df = spark.createDataFrame([(1, " \t" + "\x0b ".join(words[0])), (2, "\xa0 " + "  ".join(words[0]))], "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in passages.remove_repeats(df).collect()}
+    assert got == {1: (25, 0, " ".join(words[0])), 2: (26, 25, "\xa0")}
+
+
+def test_a_shard_is_scanned_in_parts_of_whole_anchors(monkeypatch):
+    import pandas as pd
+
+    sizes, scan = [], passages.scan_part
+    monkeypatch.setattr(passages, "PART_SEGMENTS", 3)
+    monkeypatch.setattr(passages, "scan_part", lambda s, o, w: sizes.append(len(s)) or scan(s, o, w))
+    rows = [(k // 4, k, f"p{k // 4} a b c d{k % 2}", 9 - k) for k in range(10)]
+    frame = pd.DataFrame(rows, columns=["anchor", "segment_key", "segment", "least"]).sample(frac=1, random_state=1)
+    got = passages.scan_shard(frame, 4).sort_values("segment_key")["owners"].tolist()
+    assert sizes == [4, 4, 2]
+    groups = [[k for k in range(10) if k // 4 == g] for g in range(3)]
+    want = [[min(9 - j for j in groups[k // 4]), min(9 - j for j in groups[k // 4] if j % 2 == k % 2)] for k in range(10)]
+    assert got == want
