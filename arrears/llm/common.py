@@ -21,11 +21,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder (zstd) and read back; cuts lineage and fixes row order and task ids."""
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """``df`` written to the shared folder (zstd) and read back; cuts lineage and fixes row order and task ids.
+
+    With ``free`` Spark removes the shuffle files of the write at its end, not when the driver next collects garbage.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true" if free else before)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -22,6 +22,7 @@ than any id. Texts with fewer words than a window stay whole.
 from __future__ import annotations
 
 import re
+from functools import partial
 
 import ahocorasick
 import numpy as np
@@ -43,6 +44,10 @@ LAST = (1 << 63) - 1
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: The exchanges are several times the input; each ends with the table it serves.
+written = partial(common.written, free=True)
+
+
 class WordHashes:
     """64-bit hashes of words: eight bytes at a time for all words at once, beyond ``LONG`` bytes by the library."""
 
@@ -188,17 +193,17 @@ def split_owners(segments: DataFrame, window: int, shard_segments: int) -> DataF
     words = F.split("segment", " ")
     windows = F.transform(F.sequence(F.lit(1), F.size(words) - (window - 1)),
                           lambda k: F.array_join(F.slice(words, k, window), " "))
-    least = common.written(segments.select("least", F.explode(windows).alias("words")).groupBy("words").agg(
+    least = written(segments.select("least", F.explode(windows).alias("words")).groupBy("words").agg(
         F.min("least").alias("least")), "passages-windows")
     shards = max(1, -(-least.count() // shard_segments))
 
     def shard_of(w):
         return F.pmod(F.xxhash64(w), F.lit(shards))
 
-    asked = common.written(segments.select(
+    asked = written(segments.select(
         "anchor", "segment_key", "segment",
         F.explode(F.array_distinct(F.transform(windows, shard_of))).alias("shard")), "passages-asked")
-    parts = common.written(asked.groupBy("shard").agg(
+    parts = written(asked.groupBy("shard").agg(
         F.ceil(F.count("*") / shard_segments).alias("parts")), "passages-parts")
     asked = asked.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("segment_key"), F.col("parts"))).drop("parts")
     owned = least.withColumn("shard", shard_of(F.col("words"))).join(parts, "shard").withColumn(
@@ -238,9 +243,9 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, shard_segments: int =
                     names=["rid", "id", "anchor"])
 
     named = rows.select("rid", "id", "text", "n_words").mapInArrow(named_anchors, "rid long, id long, anchor long")
-    confirmed = common.written(named.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where(
+    confirmed = written(named.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where(
         "a < b").select("anchor"), "passages-anchors")
-    flagged = common.written(
+    flagged = written(
         named.join(confirmed, "anchor").groupBy("rid").agg(F.collect_list("anchor").alias("flagged")),
         "passages-flagged")
 
@@ -262,20 +267,20 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, shard_segments: int =
                      batch["rid"].take(own), batch["id"].take(own), pa.array(first - begins[owner])],
                     names=["anchor", "segment_key", "segment", "rid", "id", "first"])
 
-    places = common.written(rows.select("rid", "id", "text", "n_words").join(flagged, "rid").mapInArrow(
+    places = written(rows.select("rid", "id", "text", "n_words").join(flagged, "rid").mapInArrow(
         run, "anchor long, segment_key long, segment string, rid long, id long, first long"), "passages-places")
-    segments = common.written(places.groupBy("anchor", "segment_key").agg(
+    segments = written(places.groupBy("anchor", "segment_key").agg(
         F.first("segment").alias("segment"), F.min("id").alias("least")), "passages-segments")
-    frequent = common.written(segments.groupBy("anchor").count().where(F.col("count") > shard_segments).select(
+    frequent = written(segments.groupBy("anchor").count().where(F.col("count") > shard_segments).select(
         "anchor"), "passages-frequent")
     split = frequent.count() > 0
     rest = segments.join(frequent, "anchor", "left_anti") if split else segments
     shards = max(1, -(-segments.count() // shard_segments))
-    owners = common.written(rest.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy(
+    owners = written(rest.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).groupBy(
         "shard").applyInPandas(shard_scan(window), "anchor long, segment_key long, owners array<long>"),
         "passages-owners")
     if split:
-        owners = owners.union(common.written(split_owners(
+        owners = owners.union(written(split_owners(
             segments.join(frequent, "anchor", "left_semi"), window, shard_segments), "passages-split-owners"))
     starts = F.filter(F.transform("owners", lambda o, k: F.when(o < F.col("id"), F.col("first") + k)),
                       lambda x: x.isNotNull())
@@ -294,9 +299,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     source = docs.select(F.col(id_col).alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"),
                          F.col(text).alias("text"))
-    rows = common.written(
+    rows = written(
         common.map_rows(source, "text", ["own", "id"], "text string, n_words long", normal, number=True), "passages-rows")
-    found = common.written(repeated_spans(rows, window, shard_segments), "passages-starts")
+    found = written(repeated_spans(rows, window, shard_segments), "passages-starts")
     joined = rows.join(found, "rid", "left").select("own", "n_words", "text", "starts")
 
     def run(batches):

@@ -482,3 +482,22 @@ def test_a_shard_is_scanned_in_parts_of_whole_anchors(monkeypatch):
     groups = [[k for k in range(10) if k // 4 == g] for g in range(3)]
     want = [[min(9 - j for j in groups[k // 4]), min(9 - j for j in groups[k // 4] if j % 2 == k % 2)] for k in range(10)]
     assert got == want
+
+
+def test_passages_leave_no_shuffle_files(spark):
+    from arrears.llm import common
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.split("\n") if "shuffle_" in f}
+
+    before, texts = shuffled(), [(k, f"{LINE} and number {k % 3}") for k in range(20)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    starts = passages.repeated_spans(passages.written(df.selectExpr(
+        "doc_id id", "doc_id rid", "text", "size(split(text, ' ')) + 0L n_words"), "test-rows"))
+    for _ in range(50):
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not left and starts.count() == 19
+    assert spark.conf.get(common.FREE_SHUFFLES) == "false"
