@@ -45,15 +45,16 @@ def drift_base(predictions: DataFrame, features: DataFrame, model_version=None)
     """Monitored inputs of every loan the model ever scored, one row per loan and split.
 
     The scoring runs are reduced to one row per loan, which keeps the loans hashed the way the join needs them; a loan
-    is in one or two splits, so the set of its splits stays tiny.
+    is in one or two splits, so the set of its splits stays tiny. Loans issued before the first or after the last scored
+    day cannot match and are left out before the join.
     """
     version = newest_model(predictions) if model_version is None else F.lit(model_version)
-    cohort = (
-        predictions.where((F.col("model_version") == version) & F.col("split").isin(*SCORED_SPLITS))
-        .where("loan_id IS NOT NULL AND issue_date IS NOT NULL")
-        .groupBy("loan_id", "issue_date")
-        .agg(F.collect_set("split").alias("splits"), F.first("model_version").alias("model_version")))
-    inputs = features.select("loan_id", "issue_date", *DRIFT_NUMERIC, *DRIFT_CATEGORICAL)
+    scored = predictions.where((F.col("model_version") == version) & F.col("split").isin(*SCORED_SPLITS)).where(
+        "loan_id IS NOT NULL AND issue_date IS NOT NULL")
+    cohort = scored.groupBy("loan_id", "issue_date").agg(
+        F.collect_set("split").alias("splits"), F.first("model_version").alias("model_version"))
+    first, last = scored.agg(F.min("issue_date"), F.max("issue_date")).first()
+    inputs = features.where(F.col("issue_date").between(F.lit(first), F.lit(last))).select("loan_id", "issue_date", *DRIFT_NUMERIC, *DRIFT_CATEGORICAL)
     return cohort.join(inputs, ["loan_id", "issue_date"]).select(
         "model_version", F.explode("splits").alias("split"), month_key(F.col("issue_date")).alias("issue_month"),
         *DRIFT_NUMERIC, *DRIFT_CATEGORICAL)

@@ -140,3 +140,17 @@ def test_approximate_percentiles_agree(spark):
     exact, sketch = drift.score_drift(rows, TS).first(), drift.score_drift(rows, TS, accuracy=1000).first()
     assert exact.p50 == pytest.approx(sketch.p50, abs=0.002) and exact.p99 == pytest.approx(sketch.p99, abs=0.002)
     assert (exact.p50, exact.p90, exact.p99) == (999 / 2000, 1799 / 2000, 1979 / 2000)
+
+
+def test_drift_joins_only_days_that_were_scored(spark):
+    days = [datetime.date(2020, month, 1) for month in range(1, 7)]
+    kinds = {c: "double" for c in drift.DRIFT_NUMERIC} | {c: "string" for c in drift.DRIFT_CATEGORICAL}
+    schema = "loan_id string, issue_date date, " + ", ".join(f"{c} {kind}" for c, kind in kinds.items())
+    loans = spark.createDataFrame([(str(i), day, *[None] * len(kinds)) for i, day in enumerate(days)], schema)
+    runs = spark.createDataFrame(
+        [("m", "valid", "2", days[2]), ("m", "test", "3", days[3]), ("m", "test", "5", days[0]), ("m", "test", "4", None)],
+        "model_version string, split string, loan_id string, issue_date date")
+    base = drift.drift_base(runs, loans, "m")
+    assert sorted((r.split, r.issue_month) for r in base.collect()) == [("test", "2020-04"), ("valid", "2020-03")]
+    assert "<= 2020-04-01" in base._jdf.queryExecution().optimizedPlan().toString()
+    assert drift.drift_base(runs.where("false"), loans, "m").count() == 0
