@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrears.constants import DEFAULT_STATUSES, MATURITY_GUARD, PAID_STATUS
@@ -10,6 +10,8 @@ from arrears.functions.parse import first_integer, month, number
 from arrears.operators.ranks import discrete_quantiles
 from arrears.shared import settle
 
+SORT_ALL = 0.1  # records that share their loan id, of all records, above which dedupe sorts all
+
 # Target column, raw column, parser (None keeps the text). Ordered as the staged table lists them.
 STAGED = [
     ("loan_id", "id", None),
@@ -54,15 +56,33 @@ def label_loans(staged: DataFrame) -> DataFrame:
     return staged.withColumn("label", outcome.cast("bigint"))
 
 
-def dedupe_loans(labelled: DataFrame) -> DataFrame:
-    """Keep the earliest record of each loan; a record without a date counts as earliest.
+def _earliest(labelled: DataFrame) -> DataFrame:
+    """The earliest record of each loan, from a sort of all records."""
+    rest = [name for name in labelled.columns if name not in ("loan_id", "issue_date")]
+    order = Window.partitionBy("loan_id").orderBy("issue_date", *rest)
+    return labelled.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+
 
-    Equal dates are settled by the remaining columns, so the same input always keeps the same row. The rank filter
-    runs before the shuffle as well as after it, so a loan id shared by very many records leaves each map task once.
+def dedupe_loans(labelled: DataFrame, usable: Column | None = None) -> DataFrame:
+    """Keep the earliest record of each loan; a record without a date counts as earliest. ``usable`` names the kept
+    records that are returned; the others still count as the earliest.
+
+    Equal dates are settled by the remaining columns, so the same input always keeps the same row. The ids alone are
+    shuffled to find those with several records, and only their records are sorted, unless these are more than a share of
+    ``SORT_ALL``. The rank filter runs before the shuffle as well as after it, so a loan id shared by very many records
+    leaves each map task once. All other records are a written table.
     """
-    rest = [name for name in labelled.columns if name not in ("loan_id", "issue_date")]
-    earliest = Window.partitionBy("loan_id").orderBy("issue_date", *rest)
-    return labelled.withColumn("_nth", F.row_number().over(earliest)).where("_nth = 1").drop("_nth")
+    usable = F.lit(True) if usable is None else usable
+    repeated = settle(labelled.groupBy(F.col("loan_id").alias("_id")).agg(F.count(F.lit(1)).alias("_records")).where(
+        "_records > 1"), "repeated-loans")
+    several = repeated.agg(F.coalesce(F.sum("_records"), F.lit(0))).first()[0]
+    if several > SORT_ALL * labelled.count():
+        return settle(_earliest(labelled).where(usable), "earliest")
+    marked = labelled.join(repeated, F.col("loan_id").eqNullSafe(F.col("_id")), "left").select(
+        *labelled.columns, F.col("_records").isNotNull().alias("_repeated"))
+    records = settle(marked.where(F.col("_repeated") | usable), "records", ["_repeated"])
+    first = _earliest(records.where("_repeated").drop("_repeated")).where(usable)
+    return records.where("NOT _repeated").drop("_repeated").unionByName(first)
 
 
 def clean_loans(
@@ -70,7 +90,8 @@ def clean_loans(
 ) -> DataFrame:
     """Label, dedupe, then drop unusable or immature loans, in that order, and add the credit history length.
 
-    The quality filters must stay behind the dedupe: a loan whose earliest record is unusable is dropped whole.
+    The quality filters must stay behind the dedupe: a loan whose earliest record is unusable is dropped whole. The kept
+    loans are written once.
     """
     usable = (
         F.col("issue_date").isNotNull() & F.col("label").isNotNull() & F.col("term_months").isNotNull()
@@ -79,7 +100,7 @@ def clean_loans(
         & F.col("dti").between(0, 100)
     )
     history = (F.year("issue_date") - F.year("earliest_cr_line_date")).cast("bigint")
-    kept = dedupe_loans(label_loans(staged)).where(usable).withColumn("credit_history_years", history)
+    kept = dedupe_loans(label_loans(staged), usable).withColumn("credit_history_years", history)
     return kept.drop("loan_status") if keep_earliest_line else kept.drop("loan_status", "earliest_cr_line_date")
 
 
@@ -105,8 +126,7 @@ def build_features(
     keep_earliest_line: bool = False,
 ) -> DataFrame:
     """Raw records to the feature table. The cleaned loans are written once, then read for the dates and the rows."""
-    clean = settle(clean_loans(stage_loans(raw), maturity_guard, keep_earliest_line), "clean")
-    return time_split(clean, train_share, valid_share)
+    return time_split(clean_loans(stage_loans(raw), maturity_guard, keep_earliest_line), train_share, valid_share)
 
 
 def reconcile(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:

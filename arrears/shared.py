@@ -13,9 +13,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+OPEN_FILES = 8  # of a task; a task with more values sorts its remaining rows
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -33,12 +37,25 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{named.rstrip('/')}/arrears-{spark.sparkContext.applicationId}"
 
 
+@contextmanager
+def _open_files(spark: SparkSession) -> Iterator[None]:
+    """A partitioned write keeps a file open for each of a few values, instead of sorting all rows by them."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, max(int(before), OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def settle(df: DataFrame, name: str = "step", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        with _open_files(spark):
+            df.write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -3,8 +3,10 @@
 import datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from arrears import shared
 from arrears.constants import RAW_SCHEMA
 from arrears.functions import parse
 from arrears.functions.text import fixed
@@ -64,6 +66,37 @@ def test_dedupe_ranks_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2
 
 
+def test_dedupe_sorts_only_repeated_ids(spark, monkeypatch):
+    written = {}
+
+    def settle(df, name, *of):
+        written[name] = shared.settle(df, name, *of)
+        return written[name]
+
+    monkeypatch.setattr(features, "settle", settle)
+    rows = [record(id=str(i), issue_d="Mar-2015", loan_amnt=str(i)) for i in range(40)] + [
+        record(id="7", issue_d="Jan-2015", loan_amnt="99"), record(id=None, loan_amnt="5"),
+        record(id=None, loan_amnt="4")]
+    staged = features.stage_loans(spark.createDataFrame(rows, RAW_SCHEMA))
+    monkeypatch.setattr(features, "SORT_ALL", 0.2)
+    kept = {r.loan_id: r.loan_amount for r in features.dedupe_loans(staged).collect()}
+    assert kept == {str(i): float(i) for i in range(40)} | {"7": 99.0, None: 4.0}
+    assert sorted(r.loan_id or "" for r in written["records"].where("_repeated").collect()) == ["", "", "7", "7"]
+    monkeypatch.setattr(features, "SORT_ALL", 0.01)
+    assert {r.loan_id: r.loan_amount for r in features.dedupe_loans(staged).collect()} == kept
+    few = features.dedupe_loans(staged, F.col("loan_amount") < 5)
+    assert sorted(r.loan_id or "" for r in few.collect()) == ["", "0", "1", "2", "3", "4"]
+
+
+def test_partitioned_tables_are_written_without_a_sort(spark, monkeypatch):
+    seen, name, write = [], "spark.sql.maxConcurrentOutputFileWriters", DataFrameWriter.parquet
+    before = spark.conf.get(name)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *of: (seen.append(int(spark.conf.get(name))), write(*of)))
+    rows = shared.settle(spark.range(10).selectExpr("id", "id % 3 AS part"), "parts", ["part"])
+    assert seen == [shared.OPEN_FILES] and spark.conf.get(name) == before
+    assert sorted(tuple(r) for r in rows.collect()) == [(i, i % 3) for i in range(10)]
+
+
 def test_split_moves_whole_months(spark):
     months = ["Jan-2015"] * 7 + ["Feb-2015"] * 2 + ["Mar-2015"]
     raw = spark.createDataFrame([record(id=str(i), issue_d=m) for i, m in enumerate(months)], RAW_SCHEMA)
