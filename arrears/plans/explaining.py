@@ -21,7 +21,7 @@ def explanation_run(
 ) -> tuple[DataFrame, DataFrame]:
     """Explain all ``loans``, report the declined ones. Writes the reason table as Parquet and CSV, and the summary and
     the direction check as JSON; returns the table and the summary."""
-    scored = settle(model.score(tree_contributions(model, loans)), "explained")
+    scored = settle(model.score(tree_contributions(model, loans), margin="margin"), "explained")
     explained = fold_contributions(with_decision(scored, cutoff, decline_rate), model.owners)
     inputs = [*model.numeric, *model.categorical]
     declines = settle(explain_declines(explained, inputs, top_k, min_logodds, separate_term, model.score), "declines")
